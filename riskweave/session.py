@@ -18,7 +18,7 @@ def ensure_utc(spark: SparkSession) -> None:
 
 
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
-                  app: str = "riskweave", driver_memory: str | None = None) -> SparkSession:
+                  app: str = "riskweave", driver_memory: str | None = "8g") -> SparkSession:
     """A local session with the settings the tests and bench use.
 
     On a cluster, build the session with the cluster's own settings and only
