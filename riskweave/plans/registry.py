@@ -71,4 +71,4 @@ def fixture(spark: SparkSession, sf_dir: str):
 
 
 # importing the query modules fills the registry
-from . import queries_features, queries_encode, queries_stats, queries_anomaly  # noqa: E402,F401
+from . import queries_features, queries_encode, queries_stats, queries_anomaly, queries_model  # noqa: E402,F401
