@@ -37,23 +37,27 @@ def _ordered(tx: DataFrame, tiebreak, segment_us: int) -> tuple[DataFrame, list]
 
 
 def user_sequences(tx: DataFrame, tiebreak=("id_tx",), k_first: int = 5, k_last: int = 10,
-                   segment_us: int = HOUR_US) -> DataFrame:
-    """W1-W8 and A38 for every user that has transactions."""
+                   segment_us: int = HOUR_US, with_burst: bool = False) -> DataFrame:
+    """W1-W8 and A38 for every user that has transactions.
+
+    One row-level window pass per segment feeds one per-segment summary; all
+    user-level results come from that (small) table.  With ``with_burst`` and
+    clock-hour segments, ``max_hourly_burst`` (A18) comes for free.
+    """
     df, order = _ordered(tx, list(tiebreak), segment_us)
     w = Window.partitionBy("id_user", "_seg").orderBy(*order)
     w_run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    w_all = Window.partitionBy("id_user", "_seg")
     is_fail = F.coalesce((F.col("status") == "fail").cast("int"), F.lit(0))
     rows = (df.select("id_user", "_seg", "_ok", *tiebreak, "timestamp_tr", "status",
                       "card_mask_hash", "error_group", is_fail.alias("_fail"))
             .withColumn("_rn", F.row_number().over(w))
-            .withColumn("_n", F.count(F.lit(1)).over(w_all))
             .withColumn("_gap", seconds_between(F.col("timestamp_tr"), F.lag("timestamp_tr").over(w)))
             .withColumn("_chg", F.when(F.col("_rn") > 1, (~F.col("status").eqNullSafe(
                 F.lag("status").over(w))).cast("int")).otherwise(0))
             .withColumn("_lastok", F.max(F.when(F.col("_fail") == 0, F.col("_rn"))).over(w_run))
             .withColumn("_run", F.when(F.col("_fail") == 1, F.col("_rn") - F.coalesce("_lastok", F.lit(0)))))
 
+    cvv = F.coalesce(F.col("error_group") == "cvv error", F.lit(False))
     seg = rows.groupBy("id_user", "_seg").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("_fail").alias("nfail"),
@@ -67,20 +71,49 @@ def user_sequences(tx: DataFrame, tiebreak=("id_tx",), k_first: int = 5, k_last:
         F.min(F.when(F.col("status") == "success", F.col("_rn"))).alias("fs_rn"),
         F.min(F.when(F.col("status").isNotNull(), F.struct("_rn", "status"))).alias("first_nn"),
         F.sum("_chg").alias("chg_in"),
+        # in-segment gap moments (Chan et al. combine them exactly below)
+        F.count("_gap").alias("g_n"), F.avg("_gap").alias("g_mean"),
+        (F.coalesce(F.var_pop("_gap"), F.lit(0.0)) * F.count("_gap")).alias("g_m2"),
+        F.min("_gap").alias("g_min"),
+        # first / last k rows of the segment (bounded arrays)
+        F.collect_list(F.when(F.col("_rn") <= k_first, F.struct(F.col("_rn").alias("rn"),
+                                                                 F.col("card_mask_hash").alias("card")))).alias("head"),
+        F.max(F.when(cvv, F.col("_rn"))).alias("last_cvv_rn"),
     )
     ws = Window.partitionBy("id_user").orderBy("_seg")
+    prev_last = F.lag("ts_last").over(ws)
     seg = (seg
-           .withColumn("b_gap", seconds_between(F.col("ts_first"), F.lag("ts_last").over(ws)))
+           .withColumn("b_gap", seconds_between(F.col("ts_first"), prev_last))
            .withColumn("b_chg", F.when(F.lag("n").over(ws).isNotNull(),
                                        (~F.col("first_status.status").eqNullSafe(
                                            F.lag("last_status").over(ws).getField("status"))).cast("int"))
                        .otherwise(0))
            .withColumn("before", F.coalesce(F.sum("n").over(
                ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+           .withColumn("after", F.coalesce(F.sum("n").over(
+               ws.rowsBetween(1, Window.unboundedFollowing)), F.lit(0)))
            .withColumn("all_fail", F.col("nfail") == F.col("n"))
            .withColumn("g", F.sum(F.when(F.col("all_fail"), 0).otherwise(1)).over(
                ws.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
-
+    # boundary gap folded into the segment's gap moments: one more value
+    bg = F.col("b_gap")
+    has_b = bg.isNotNull()
+    n1 = F.col("g_n") + has_b.cast("long")
+    mean1 = F.when(has_b, (F.coalesce(F.col("g_mean") * F.col("g_n"), F.lit(0.0)) + bg) / n1).otherwise(F.col("g_mean"))
+    m2_1 = F.when(has_b & (F.col("g_n") > 0),
+                  F.col("g_m2") + F.pow(bg - F.col("g_mean"), 2) * F.col("g_n") / n1) \
+        .when(has_b, F.lit(0.0)).otherwise(F.col("g_m2"))
+    seg = seg.withColumn("gn", n1).withColumn("gmean", mean1).withColumn("gm2", m2_1).withColumn(
+        "gmin", F.least("g_min", "b_gap"))
+    # first k overall: head rows whose global position before + rn <= k
+    seg = seg.withColumn("head_k", F.filter("head", lambda r: F.col("before") + r["rn"] <= k_first))
+    # last k overall: a cvv row among the last k iff after + (n - rn) < k
+    seg = seg.withColumn("cvv_tail", (F.col("last_cvv_rn").isNotNull()
+                                      & (F.col("after") + F.col("n") - F.col("last_cvv_rn") < k_last)).cast("int"))
+
+    wu = Window.partitionBy("id_user")
+    gm = F.try_divide(F.sum(F.col("gmean") * F.col("gn")).over(wu), F.sum("gn").over(wu).cast("double"))
+    seg = seg.withColumn("_um", gm)
     per_user = seg.groupBy("id_user").agg(
         (F.sum("chg_in") + F.sum("b_chg")).alias("status_changes"),
         F.coalesce(
@@ -90,7 +123,22 @@ def user_sequences(tx: DataFrame, tiebreak=("id_tx",), k_first: int = 5, k_last:
         F.coalesce((F.min(F.when(F.col("first_nn").isNotNull(), F.struct("_seg", "first_nn")))
                     .getField("first_nn").getField("status") == "fail").cast("int"),
                    F.lit(0)).alias("first_tx_failed"),
+        F.min("gmin").alias("min_time_between_tx"),
+        F.try_divide(F.sum(F.col("gmean") * F.col("gn")), F.sum("gn")).alias("avg_time_between_tx"),
+        F.sqrt(F.try_divide(
+            F.sum(F.when(F.col("gn") > 0, F.col("gm2") + F.col("gn") * F.pow(F.col("gmean") - F.col("_um"), 2))),
+            (F.sum("gn") - 1).cast("double"))).alias("_std"),
+        F.sum("gn").alias("_gn"),
+        F.size(F.array_distinct(F.filter(F.flatten(F.collect_list(F.when(
+            F.size("head_k") > 0, F.transform("head_k", lambda r: r["card"])))),
+            lambda c: c.isNotNull()))).alias(
+            f"unique_cards_first_{k_first}"),
+        F.max("cvv_tail").alias("is_cvv_error"),
+        *([F.max(F.when(F.col("ts_first").isNotNull(), F.col("n"))).alias("max_hourly_burst")]
+          if with_burst and segment_us == HOUR_US else []),
     )
+    per_user = (per_user.withColumn("std_time_between_tx", F.when(F.col("_gn") > 1, F.col("_std")))
+                .drop("_std", "_gn"))
 
     # fail runs that cross segment boundaries
     groups = seg.groupBy("id_user", "g").agg(
@@ -103,31 +151,4 @@ def user_sequences(tx: DataFrame, tiebreak=("id_tx",), k_first: int = 5, k_last:
                               + F.coalesce(F.lead("start_pre").over(wg), F.lit(0)))
             .groupBy("id_user")
             .agg(F.max(F.greatest("cross", "inner_max")).alias("max_consecutive_fails")))
-
-    # inter-transaction gaps: in-segment gaps plus one gap per segment boundary
-    gaps = (rows.select("id_user", F.col("_gap").alias("gap"))
-            .unionByName(seg.select("id_user", F.col("b_gap").alias("gap")))
-            .filter(F.col("gap").isNotNull())
-            .groupBy("id_user")
-            .agg(F.min("gap").alias("min_time_between_tx"),
-                 F.avg("gap").alias("avg_time_between_tx"),
-                 F.stddev_samp("gap").alias("std_time_between_tx")))
-
-    # first k rows: each segment's first k are the only candidates
-    first_k = (rows.filter(F.col("_rn") <= k_first)
-               .withColumn("_r", F.row_number().over(
-                   Window.partitionBy("id_user").orderBy("_seg", "_rn")))
-               .filter(F.col("_r") <= k_first)
-               .groupBy("id_user")
-               .agg(F.count_distinct("card_mask_hash").alias(f"unique_cards_first_{k_first}")))
-    # last k rows: each segment's last k are the only candidates
-    last_k = (rows.filter(F.col("_rn") > F.col("_n") - k_last)
-              .withColumn("_r", F.row_number().over(
-                  Window.partitionBy("id_user").orderBy(F.desc("_seg"), F.desc("_rn"))))
-              .filter(F.col("_r") <= k_last)
-              .groupBy("id_user")
-              .agg(F.max(F.coalesce(F.col("error_group") == "cvv error", F.lit(False)))
-                   .cast("int").alias("is_cvv_error")))
-
-    return (per_user.join(runs, "id_user", "left").join(gaps, "id_user", "left")
-            .join(first_k, "id_user", "left").join(last_k, "id_user", "left"))
+    return per_user.join(runs, "id_user", "left")

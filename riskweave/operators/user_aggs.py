@@ -42,8 +42,23 @@ def _status_is(v: str) -> Column:
     return F.col("status") == F.lit(v)
 
 
+DISTINCT_COUNTS = {
+    "unique_cards_per_user": "card_mask_hash", "unique_card_holders": "card_holder",
+    "unique_error_types": "error_group", "unique_card_brands": "card_brand",
+    "unique_card_types": "card_type", "unique_card_countries": "card_country",
+}
+
+
+def distinct_counts(tx: DataFrame) -> DataFrame:
+    """Distinct counts per user (NULL ignored), kept apart from the
+    other aggregates so the distinct rewrite does not drag them along."""
+    aggs = [F.count_distinct(c).alias(name) for name, c in DISTINCT_COUNTS.items()]
+    aggs.append(F.count_distinct(first_token_lower("card_holder")).alias("unique_first_names"))
+    return tx.groupBy("id_user").agg(*aggs)
+
+
 def row_grain_aggregates(tx: DataFrame, error_groups=ALL_ERROR_GROUPS) -> DataFrame:
-    """A1-A9, A11, A12, A14 (first time), A16, A17, A24, A26 in one aggregate."""
+    """A1-A9, A11, A12, A14 (first time), A16, A17, A24, A26 per user."""
     aggs = [
         F.count(F.lit(1)).alias("tx_count"),
         F.avg("amount").alias("amount_mean"),
@@ -52,12 +67,6 @@ def row_grain_aggregates(tx: DataFrame, error_groups=ALL_ERROR_GROUPS) -> DataFr
         F.min("amount").alias("amount_min"),
         F.median("amount").alias("amount_median"),
         F.sum("amount").alias("amount_sum"),
-        F.count_distinct("card_mask_hash").alias("unique_cards_per_user"),
-        F.count_distinct("card_holder").alias("unique_card_holders"),
-        F.count_distinct("error_group").alias("unique_error_types"),
-        F.count_distinct("card_brand").alias("unique_card_brands"),
-        F.count_distinct("card_type").alias("unique_card_types"),
-        F.count_distinct("card_country").alias("unique_card_countries"),
         rate_of(_status_is("fail")).alias("fail_status_coefficient"),
         rate_of(F.col("error_group") == "fraud").alias("fraud_error_rate"),
         F.count_if(F.col("error_group") == "fraud").alias("fraud_error_count"),
@@ -69,13 +78,12 @@ def row_grain_aggregates(tx: DataFrame, error_groups=ALL_ERROR_GROUPS) -> DataFr
         F.coalesce(F.stddev_samp(F.hour("timestamp_tr")), F.lit(0.0)).alias("hour_std"),
         F.coalesce(F.mode("card_holder", True), F.lit("")).alias("main_card_holder"),
         rate_of(F.col("amount") <= F.lit(SMALL_AMOUNT)).alias("small_amount_rate"),
-        F.count_distinct(first_token_lower("card_holder")).alias("unique_first_names"),
     ]
     for g in error_groups:
         if g == "cvv error":
             continue
         aggs.append(rate_of(F.col("error_group") == g).alias(error_rate_name(g)))
-    out = tx.groupBy("id_user").agg(*aggs)
+    out = tx.groupBy("id_user").agg(*aggs).join(distinct_counts(tx), "id_user")
     extra = {
         "amount_range": F.col("amount_max") - F.col("amount_min"),
         "amount_cv": F.col("amount_std") / (F.col("amount_mean") + F.lit(EPS)),

@@ -29,28 +29,62 @@ SEQ_ZERO_FILL = ["max_consecutive_fails", "first_tx_failed", "fails_before_first
 HELPERS = ["first_timestamp_tr", "email_name", "main_card_holder"]
 
 
+# derived column -> the columns it reads
+DERIVED_INPUTS = {
+    "errors_x_cards": ["unique_error_types", "unique_cards_per_user"],
+    "holders_x_cards": ["unique_card_holders", "unique_cards_per_user"],
+    "consec_fails_x_cards": ["max_consecutive_fails", "unique_cards_per_user"],
+    "burst_x_cards": ["max_hourly_burst", "unique_cards_per_user"],
+    "burst_x_errors": ["max_hourly_burst", "unique_error_types"],
+    "consec_fails_x_holders": ["max_consecutive_fails", "unique_card_holders"],
+    "burst_x_fail_rate": ["max_hourly_burst", "fail_status_coefficient"],
+    "countries_per_tx": ["unique_card_countries", "tx_count"],
+    "errors_per_tx": ["unique_error_types", "tx_count"],
+    "holders_per_card": ["unique_card_holders", "unique_cards_per_user"],
+    "holders_per_tx": ["unique_card_holders", "tx_count"],
+    "cards_per_tx": ["unique_cards_per_user", "tx_count"],
+    "unique_amounts_per_tx": ["unique_amounts", "tx_count"],
+    "transaction_type_resign_rate": ["resign_count", "tx_count"],
+    "name_in_email": ["main_card_holder"],
+    "time_to_first_transaction": ["first_timestamp_tr"],
+}
+
+
 def build_features(users: DataFrame, tx: DataFrame, tiebreak=("id_tx",),
-                   segment_us: int = HOUR_US, keep_helpers: bool = False) -> DataFrame:
+                   segment_us: int = HOUR_US, keep_helpers: bool = False, only=None) -> DataFrame:
+    """All per-user features; ``only`` restricts the plan to the branches that
+    produce the listed columns (and their inputs)."""
     base = users.withColumn("domain", email_domain("email")).withColumn("email_name", email_local("email"))
-    parts = [
-        row_grain_aggregates(tx),
-        hourly_burst(tx),
-        amount_profile(tx),
-        card_reg_mismatch(tx, users),
-        user_sequences(tx, tiebreak=tiebreak, segment_us=segment_us),
-        card_rollups(tx),
+    burst_in_seq = segment_us == HOUR_US      # clock-hour segments give A18 for free
+    branches = [
+        lambda: row_grain_aggregates(tx),
+        lambda: amount_profile(tx),
+        lambda: card_reg_mismatch(tx, users),
+        lambda: user_sequences(tx, tiebreak=tiebreak, segment_us=segment_us, with_burst=burst_in_seq),
+        lambda: card_rollups(tx),
     ]
+    if not burst_in_seq:
+        branches.append(lambda: hourly_burst(tx))
+    parts = [b() for b in branches]
+    if only is not None:
+        need = set(only)
+        for c in list(only):
+            need.update(DERIVED_INPUTS.get(c, []))
+        parts = [p for p in parts if need & (set(p.columns) - {"id_user"})]
     out = base
     for p in parts:
         out = out.join(p, "id_user", "left")
-    fills = {c: F.coalesce(F.col(c), F.lit(0)) for c in ZERO_FILL + SEQ_ZERO_FILL}
+    have = set(out.columns)
+    fills = {c: F.coalesce(F.col(c), F.lit(0)) for c in ZERO_FILL + SEQ_ZERO_FILL if c in have}
     out = out.withColumns(fills)
-    out = out.withColumns({
-        "main_card_holder": F.coalesce("main_card_holder", F.lit("")),
-        "time_to_first_transaction": time_to_first(clip=True),
-    })
-    out = out.withColumns(interactions()).withColumns(per_tx_ratios())
-    out = out.withColumn("name_in_email", name_in_email("email_name", "main_card_holder"))
+    if "main_card_holder" in have:
+        out = out.withColumn("main_card_holder", F.coalesce("main_card_holder", F.lit("")))
+    if "first_timestamp_tr" in have:
+        out = out.withColumn("time_to_first_transaction", time_to_first(clip=True))
+    derived = {**interactions(), **per_tx_ratios()}
+    out = out.withColumns({k: v for k, v in derived.items() if set(DERIVED_INPUTS[k]) <= have})
+    if "main_card_holder" in have:
+        out = out.withColumn("name_in_email", name_in_email("email_name", "main_card_holder"))
     if not keep_helpers:
         out = out.drop(*HELPERS)
-    return out
+    return out if only is None else out.select("id_user", *only)

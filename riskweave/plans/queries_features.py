@@ -68,7 +68,10 @@ def _register_slice(name, cols):
     @query(name, _slice_sql(cols))
     def _q(spark, sf_dir, _cols=tuple(cols)):
         fx = fixture(spark, sf_dir)
-        df = build_features(fx.users, fx.transactions)
+        want = [c for c in _cols if c != "status_changes_per_tx"]
+        if "status_changes_per_tx" in _cols:
+            want += [c for c in ("status_changes", "tx_count") if c not in want]
+        df = build_features(fx.users, fx.transactions, only=want)
         if "status_changes_per_tx" in _cols:
             df = df.withColumn("status_changes_per_tx", F.col("status_changes") / (F.col("tx_count") + 1e-6))
         return df.select("id_user", *_cols)
