@@ -10,10 +10,11 @@ all four cells), so no cross product of margins is ever built.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.pvalues import chi2_sf_udf, corr_pvalue_udf
+from ..session import cut_lineage
 from .prefix import bucketed_prefix_sums
 
 
@@ -27,15 +28,21 @@ def _cells(df: DataFrame, pairs: list[tuple[str, Column, Column]]) -> DataFrame:
 
 
 def chi2_from_cells(cells: DataFrame, yates: bool = True) -> DataFrame:
-    """Per pair: chi2, dof, total_n, nr, nc (scipy chi2_contingency conventions)."""
-    rows = cells.groupBy("pair", "a").agg(F.sum("n").alias("row_n"))
-    cols = cells.groupBy("pair", "b").agg(F.sum("n").alias("col_n"))
-    rsum = rows.groupBy("pair").agg(F.count(F.lit(1)).alias("nr"), F.sum(1.0 / F.col("row_n")).alias("inv_r"),
-                                    F.sum("row_n").alias("total_n"))
-    csum = cols.groupBy("pair").agg(F.count(F.lit(1)).alias("nc"), F.sum(1.0 / F.col("col_n")).alias("inv_c"))
-    j = (cells.join(rows, ["pair", "a"]).join(cols, ["pair", "b"]).join(rsum, "pair").join(csum, "pair")
+    """Per pair: chi2, dof, total_n, nr, nc (scipy chi2_contingency conventions).
+
+    Margins come from windows over the (small) cells table, so the cells are
+    computed once and never joined back to themselves.
+    """
+    wa, wb, wp = Window.partitionBy("pair", "a"), Window.partitionBy("pair", "b"), Window.partitionBy("pair")
+    j = (cells.withColumn("row_n", F.sum("n").over(wa)).withColumn("cnt_a", F.count(F.lit(1)).over(wa))
+         .withColumn("col_n", F.sum("n").over(wb)).withColumn("cnt_b", F.count(F.lit(1)).over(wb))
+         .withColumn("total_n", F.sum("n").over(wp))
          .withColumn("E", F.col("row_n") * F.col("col_n") / F.col("total_n")))
-    per = j.groupBy("pair", "total_n", "nr", "nc", "inv_r", "inv_c").agg(
+    per = j.groupBy("pair").agg(
+        F.first("total_n").alias("total_n"),
+        F.count_distinct("a").alias("nr"), F.count_distinct("b").alias("nc"),
+        F.sum(1.0 / (F.col("row_n") * F.col("cnt_a"))).alias("inv_r"),
+        F.sum(1.0 / (F.col("col_n") * F.col("cnt_b"))).alias("inv_c"),
         (F.sum(F.col("n") * F.col("n") / F.col("E")) - F.first("total_n")).alias("_plain"),
         F.max(F.abs(F.col("n") - F.col("E"))).alias("_d"))
     dof = (F.col("nr") - 1) * (F.col("nc") - 1)
@@ -74,15 +81,15 @@ def cramers_v_matrix(df: DataFrame, cols, na: str = "NA", yates: bool = True) ->
 def theils_u(df: DataFrame, cols, y: str, na: str = "NA") -> DataFrame:
     """Uncertainty coefficient U(y | x) in nats for each column x."""
     cells = _cells(df, [(c, F.coalesce(F.col(c).cast("string"), F.lit(na)), F.col(y)) for c in cols])
-    rows = cells.groupBy("pair", "a").agg(F.sum("n").alias("row_n"))
-    cols_ = cells.groupBy("pair", "b").agg(F.sum("n").alias("col_n"))
-    tot = rows.groupBy("pair").agg(F.sum("row_n").alias("total_n"))
-    hy = (cols_.join(tot, "pair").groupBy("pair")
-          .agg((-F.sum(F.col("col_n") / F.col("total_n") * F.ln(F.col("col_n") / F.col("total_n")))).alias("h_y")))
-    hyx = (cells.join(rows, ["pair", "a"]).join(tot, "pair").groupBy("pair")
-           .agg((-F.sum(F.col("n") / F.col("total_n") * F.ln(F.col("n") / F.col("row_n")))).alias("h_y_x")))
+    wa, wb, wp = Window.partitionBy("pair", "a"), Window.partitionBy("pair", "b"), Window.partitionBy("pair")
+    j = (cells.withColumn("row_n", F.sum("n").over(wa)).withColumn("col_n", F.sum("n").over(wb))
+         .withColumn("cnt_b", F.count(F.lit(1)).over(wb)).withColumn("total_n", F.sum("n").over(wp)))
+    p_y = F.col("col_n") / F.col("total_n")
+    per = j.groupBy("pair").agg(
+        (-F.sum(p_y * F.ln(p_y) / F.col("cnt_b"))).alias("h_y"),
+        (-F.sum(F.col("n") / F.col("total_n") * F.ln(F.col("n") / F.col("row_n")))).alias("h_y_x"))
     u = F.when(F.col("h_y") > 0, (F.col("h_y") - F.col("h_y_x")) / F.col("h_y")).otherwise(F.lit(0.0))
-    return hy.join(hyx, "pair").select(F.col("pair").alias("column"), u.alias("theils_u"))
+    return per.select(F.col("pair").alias("column"), u.alias("theils_u"))
 
 
 def safe_corr(x, y) -> Column:
@@ -99,26 +106,52 @@ def _long(df: DataFrame, feats, y: str) -> DataFrame:
             .filter(F.col("value").isNotNull() & ~F.isnan("value")))
 
 
-def auc_from_long(long: DataFrame, n_buckets: int = 64) -> DataFrame:
-    """Tie-aware ROC AUC per feature (Mann-Whitney with average ranks),
-    from distinct-score counts and prefix sums of negatives."""
-    scores = long.groupBy("feature", "value").agg(
+def score_counts(long: DataFrame) -> DataFrame:
+    """Distinct (feature, value) with positive and negative counts."""
+    return long.groupBy("feature", "value").agg(
         F.count_if(F.col("_y") == 1).alias("pos"), F.count_if(F.col("_y") != 1).alias("neg"))
+
+
+def auc_from_scores(scores: DataFrame, n_buckets: int = 64) -> DataFrame:
+    """Tie-aware ROC AUC per feature (Mann-Whitney with average ranks)
+    from distinct-score counts and prefix sums of negatives."""
     pref = bucketed_prefix_sums(scores, ["feature"], "value", ["neg"], n_buckets)
     return pref.groupBy("feature").agg(
         F.try_divide(F.sum(F.col("pos") * (F.col("cum_neg") + F.col("neg") / 2.0)),
                      (F.sum("pos") * F.sum("neg")).cast("double")).alias("auc_raw"))
 
 
+def auc_from_long(long: DataFrame, n_buckets: int = 64) -> DataFrame:
+    return auc_from_scores(score_counts(long), n_buckets)
+
+
+def corr_from_scores(scores: DataFrame) -> DataFrame:
+    """Pearson r of value and the 0/1 label from distinct-score counts, by
+    centred sums (means first, joined back as a bounded per-feature table)."""
+    w = F.col("pos") + F.col("neg")
+    means = scores.groupBy("feature").agg(
+        F.sum(w).alias("n"), (F.sum(F.col("value") * w) / F.sum(w)).alias("mx"),
+        (F.sum("pos") / F.sum(w)).alias("my"))
+    c = scores.join(F.broadcast(means), "feature")
+    dx = F.col("value") - F.col("mx")
+    sums = c.groupBy("feature", "n").agg(
+        F.sum(dx * (1 - F.col("my")) * F.col("pos") - dx * F.col("my") * F.col("neg")).alias("sxy"),
+        F.sum(dx * dx * w).alias("sxx"),
+        F.sum(F.pow(1 - F.col("my"), 2) * F.col("pos") + F.pow(F.col("my"), 2) * F.col("neg")).alias("syy"))
+    r = F.when((F.col("sxx") > 0) & (F.col("syy") > 0), F.col("sxy") / F.sqrt(F.col("sxx") * F.col("syy")))
+    return sums.select("feature", "n", r.alias("corr"))
+
+
 def feature_report(df: DataFrame, feats, y: str = "is_fraud", min_rows: int = 100,
                    with_p: bool = False) -> DataFrame:
     """T4+T5+P13: per feature with >= ``min_rows`` non-null values: AUC folded
-    to >= 0.5, point-biserial r (Pearson with the 0/1 label), n."""
-    long = _long(df, feats, y)
-    base = long.groupBy("feature").agg(F.count(F.lit(1)).alias("n"),
-                                       safe_corr("value", F.col("_y").cast("double")).alias("corr"))
-    base = base.filter(F.col("n") >= min_rows)
-    auc = auc_from_long(long)
+    to >= 0.5, point-biserial r (Pearson with the 0/1 label), n.
+
+    The distinct-score table is checkpointed once; every statistic reads it.
+    """
+    scores = cut_lineage(score_counts(_long(df, feats, y)))
+    base = corr_from_scores(scores).filter(F.col("n") >= min_rows)
+    auc = auc_from_scores(scores)
     out = base.join(auc, "feature").select(
         "feature", F.greatest(F.col("auc_raw"), 1 - F.col("auc_raw")).alias("auc"), "corr", "n")
     if with_p:

@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 # Fixed value: the reference's smoothing weight.
 MIN_SAMPLES = 50
 
@@ -76,11 +78,21 @@ def frequency_encode(df: DataFrame, col: str, out: str | None = None) -> DataFra
 
 def target_mean_encode(df: DataFrame, cols, y: str = "is_fraud", suffix: str = "_te") -> DataFrame:
     """Naive (no folds, no smoothing) target mean per category of each
-    column, NULL category -> NULL key -> overall mean of ``y`` over all rows."""
+    column, NULL category -> NULL key -> overall mean of ``y`` over all rows.
+
+    All columns' category rates come from one pass (rows x columns emitted,
+    aggregated map-side); each rate table is then joined back on its column.
+    """
     g = global_mean(df, y)
+    arr = F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("val")) for c in cols])
+    rates = (df.select(F.col(y).cast("double").alias("_y"), F.explode(arr).alias("_c"))
+             .filter(F.col("_c.val").isNotNull())
+             .groupBy(F.col("_c.col").alias("col"), F.col("_c.val").alias("val"))
+             .agg(F.avg("_y").alias("rate")))
+    rates = cut_lineage(rates)          # small; read once per column below
     out = df
     for c in cols:
-        rates = (df.filter(F.col(c).isNotNull()).groupBy(c)
-                 .agg(F.avg(F.col(y).cast("double")).alias(f"{c}{suffix}")))
-        out = out.join(rates, c, "left").withColumn(f"{c}{suffix}", F.coalesce(F.col(f"{c}{suffix}"), F.lit(g)))
+        r = rates.filter(F.col("col") == c).select(F.col("val").alias(f"_k_{c}"), F.col("rate").alias(f"{c}{suffix}"))
+        out = (out.join(r, F.col(c).cast("string") == F.col(f"_k_{c}"), "left").drop(f"_k_{c}")
+               .withColumn(f"{c}{suffix}", F.coalesce(F.col(f"{c}{suffix}"), F.lit(g))))
     return out
