@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage
+from .quantiles import exact_quantiles
 from .knn import collapse, knn_distances, vector_col
 
 # Fixed values from the reference: the anomaly feature subset (14 columns).
@@ -31,13 +33,20 @@ LRD_EPS = 1e-10
 
 
 def robust_fit(train: DataFrame, cols) -> dict[str, tuple[float, float]]:
-    """Median and IQR per column (NULL -> 0 first); zero IQR -> scale 1."""
-    aggs = [F.percentile(F.coalesce(F.col(c).cast("double"), F.lit(0.0)), [0.25, 0.5, 0.75]).alias(c)
-            for c in cols]
-    row = train.agg(*aggs).first()
+    """Median and IQR per column (NULL -> 0 first); zero IQR -> scale 1.
+
+    Exact quartiles of all columns in one distributed pass (columns unpivoted
+    to (name, value), ``exact_quantiles`` by name): no column is gathered
+    into one buffer.
+    """
+    arr = F.array(*[F.struct(F.lit(c).alias("name"), F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias("x"))
+                    for c in cols])
+    long = train.select(F.explode(arr).alias("_c")).select("_c.name", "_c.x")
+    q = {r["name"]: (r["q0"], r["q1"], r["q2"]) for r in
+         exact_quantiles(long, "x", [0.25, 0.5, 0.75], by=["name"]).collect()}
     out = {}
     for c in cols:
-        q1, med, q3 = row[c]
+        q1, med, q3 = q[c]
         iqr = q3 - q1
         out[c] = (med, iqr if iqr != 0 else 1.0)
     return out
@@ -69,8 +78,8 @@ def lof(df: DataFrame, cols, k: int = 20, contamination: float = CONTAMINATION)
         (1.0 / (F.sum(F.col("take") * F.col("reach")) / F.lit(float(k)) + F.lit(LRD_EPS))).alias("lrd"))
     ratio = (nb.join(lrd.withColumnRenamed("v", "nv").withColumnRenamed("lrd", "nlrd"), "nv")
              .groupBy("v").agg((F.sum(F.col("take") * F.col("nlrd")) / F.lit(float(k))).alias("_mean_nlrd")))
-    score = (ratio.join(lrd, "v").join(base, "v")
-             .withColumn("lof_score", F.col("_mean_nlrd") / F.col("lrd")))
+    score = cut_lineage(ratio.join(lrd, "v").join(base, "v")
+                        .withColumn("lof_score", F.col("_mean_nlrd") / F.col("lrd")))
     offset = score.agg(F.percentile(-F.col("lof_score"), float(contamination), F.col("m")).alias("o")).first()["o"]
     labelled = score.withColumn("lof_label", F.when(-F.col("lof_score") < F.lit(offset), -1).otherwise(1))
     return (df.withColumn("v", vector_col(cols))
@@ -194,7 +203,7 @@ def isolation_forest(df: DataFrame, cols, n_trees: int = 200, max_samples: int =
             s = -np.power(2.0, -(depth / len(packed)) / norm)
             yield pd.DataFrame({key: pdf[key], "_raw": s})
 
-    raw = df.select(F.col(key), x.alias("x")).mapInPandas(score, schema=f"{key} long, _raw double")
+    raw = cut_lineage(df.select(F.col(key), x.alias("x")).mapInPandas(score, schema=f"{key} long, _raw double"))
     offset = raw.agg(F.percentile("_raw", float(contamination)).alias("o")).first()["o"]
     scored = raw.select(key, (F.col("_raw") - F.lit(offset)).alias("iso_score"))
     scored = scored.withColumn("iso_label", F.when(F.col("iso_score") < 0, -1).otherwise(1))

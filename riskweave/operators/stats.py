@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .quantiles import exact_quantiles
+
 QUARTILES = [0.25, 0.5, 0.75]
 
 
@@ -71,15 +73,17 @@ def top_values(df: DataFrame, by: str, c: str, n: int = 20) -> DataFrame:
 
 
 def describe_num(df: DataFrame, c: str, by: str | None = None) -> DataFrame:
-    """Count, mean, std (ddof 1), min, quartiles (exact), max."""
+    """Count, mean, std (ddof 1), min, quartiles (exact, distributed), max."""
     x = F.col(c)
-    q = F.percentile(x, QUARTILES)
+    keys = [by] if by else []
     aggs = [F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-            F.min(x).alias("min"), q.alias("_q"), F.max(x).alias("max")]
-    g = df.groupBy(by) if by else df.groupBy()
-    out = g.agg(*aggs)
-    return out.select(*([by] if by else []), "count", "mean", "std", "min",
-                      F.col("_q")[0].alias("p25"), F.col("_q")[1].alias("p50"), F.col("_q")[2].alias("p75"), "max")
+            F.min(x).alias("min"), F.max(x).alias("max")]
+    g = df.groupBy(*keys).agg(*aggs)
+    q = exact_quantiles(df, c, QUARTILES, by=keys).drop("n")
+    out = g.join(F.broadcast(q), keys) if keys else g.withColumn("_k", F.lit(0)).join(
+        F.broadcast(q.withColumn("_k", F.lit(0))), "_k")
+    return out.select(*keys, "count", "mean", "std", "min", F.col("q0").alias("p25"), F.col("q1").alias("p50"),
+                      F.col("q2").alias("p75"), "max")
 
 
 def describe_cat(df: DataFrame, c: str) -> DataFrame:
@@ -121,9 +125,9 @@ def box_stats(df: DataFrame, c: str, by: str | None = None, whis: float = 1.5) -
         df = df.withColumn("_all", F.lit(0))
     keys = [by or "_all"]
     d = df.filter(F.col(c).isNotNull())
-    q = d.groupBy(*keys).agg(F.percentile(F.col(c), QUARTILES).alias("_q"), F.count(F.lit(1)).alias("n"))
-    q = q.select(*keys, "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                 F.col("_q")[2].alias("q3")).withColumn("iqr", F.col("q3") - F.col("q1"))
+    q = exact_quantiles(d, c, QUARTILES, by=keys)
+    q = q.select(*keys, "n", F.col("q0").alias("q1"), F.col("q1").alias("median"),
+                 F.col("q2").alias("q3")).withColumn("iqr", F.col("q3") - F.col("q1"))
     j = d.join(F.broadcast(q), keys)
     lo = F.col("q1") - whis * F.col("iqr")
     hi = F.col("q3") + whis * F.col("iqr")

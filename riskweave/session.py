@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,10 +59,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint directory.
+    """Materialise ``df`` once as Parquet under the shared checkpoint
+    directory and continue from the written table.
 
-    Used before iterative or multi-pass stages so a lost executor recomputes
-    from the checkpoint, not from the raw scan.  Never a local checkpoint.
+    Used at reuse points so later stages (and a lost executor) start from the
+    written files, not from the raw scan.  One computation (a reliable
+    ``checkpoint()`` of an unpersisted plan computes it twice); never a local
+    checkpoint.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/riskweave-tables/{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
