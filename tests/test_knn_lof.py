@@ -2,10 +2,18 @@
 import numpy as np
 import pytest
 
+from riskweave.operators import knn as knn_mod
 from riskweave.operators.anomaly import lof
 from riskweave.operators.knn import knn_stats
 
 
+@pytest.fixture(params=["broadcast", "band_join"])
+def path(request, monkeypatch):
+    if request.param == "band_join":
+        monkeypatch.setattr(knn_mod, "BROADCAST_MAX_VECTORS", 0)
+    return request.param
+
+
 def _data(spark, n=300, d=3, seed=1):
     rng = np.random.default_rng(seed)
     X = np.round(rng.normal(size=(n, d)) * 2, 1)       # coarse grid: many ties and duplicates
@@ -23,7 +31,7 @@ def _brute(Q, B, k, exclude_self=False):
     return np.sort(D, axis=1)[:, :k]
 
 
-def test_knn_train_mode(spark):
+def test_knn_train_mode(spark, path):
     X, cols, df = _data(spark)
     got = {r.id_user: (r.knn_avg_dist, r.knn_max_dist, r.knn_5th_dist)
            for r in knn_stats(df, df, cols, k=10).collect()}
@@ -34,7 +42,7 @@ def test_knn_train_mode(spark):
         assert got[i][2] == pytest.approx(ref[i][4], abs=1e-9)
 
 
-def test_knn_query_mode(spark):
+def test_knn_query_mode(spark, path):
     X, cols, df = _data(spark)
     Xq, _, dq = _data(spark, n=50, seed=7)
     got = {r.id_user: r.knn_avg_dist for r in knn_stats(dq, df, cols, k=10).collect()}
@@ -56,7 +64,7 @@ def _lof_numpy(X, k):
     return lrd[order].mean(1) / lrd
 
 
-def test_lof_matches_numpy(spark):
+def test_lof_matches_numpy(spark, path):
     X, cols, df = _data(spark, n=200)
     got = {r.id_user: (r.lof_score, r.lof_label) for r in lof(df, cols, k=20).collect()}
     ref = _lof_numpy(X, 20)
