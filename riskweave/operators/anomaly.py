@@ -80,10 +80,14 @@ def lof(df: DataFrame, cols, k: int = 20, contamination: float = CONTAMINATION)
              .groupBy("v").agg((F.sum(F.col("take") * F.col("nlrd")) / F.lit(float(k))).alias("_mean_nlrd")))
     score = cut_lineage(ratio.join(lrd, "v").join(base, "v")
                         .withColumn("lof_score", F.col("_mean_nlrd") / F.col("lrd")))
-    offset = score.agg(F.percentile(-F.col("lof_score"), float(contamination), F.col("m")).alias("o")).first()["o"]
-    labelled = score.withColumn("lof_label", F.when(-F.col("lof_score") < F.lit(offset), -1).otherwise(1))
-    return (df.withColumn("v", vector_col(cols))
-            .join(labelled.select("v", "lof_score", "lof_label"), "v", "left").drop("v"))
+    # every row gets its vector's score; the offset is an exact quantile over
+    # those rows (= the multiplicity-weighted quantile over distinct vectors)
+    rows = cut_lineage(df.withColumn("v", vector_col(cols))
+                       .join(score.select("v", "lof_score"), "v", "left").drop("v"))
+    offset = exact_quantiles(rows.select((-F.col("lof_score")).alias("nof")), "nof",
+                             [float(contamination)]).first()["q0"]
+    return rows.withColumn("lof_label", F.when(F.col("lof_score").isNull(), F.lit(None).cast("int"))
+                           .when(-F.col("lof_score") < F.lit(offset), -1).otherwise(1))
 
 
 def anomaly_quality(df: DataFrame, label: str, y: str = "is_fraud") -> DataFrame:
@@ -204,7 +208,7 @@ def isolation_forest(df: DataFrame, cols, n_trees: int = 200, max_samples: int =
             yield pd.DataFrame({key: pdf[key], "_raw": s})
 
     raw = cut_lineage(df.select(F.col(key), x.alias("x")).mapInPandas(score, schema=f"{key} long, _raw double"))
-    offset = raw.agg(F.percentile("_raw", float(contamination)).alias("o")).first()["o"]
+    offset = exact_quantiles(raw, "_raw", [float(contamination)]).first()["q0"]
     scored = raw.select(key, (F.col("_raw") - F.lit(offset)).alias("iso_score"))
     scored = scored.withColumn("iso_label", F.when(F.col("iso_score") < 0, -1).otherwise(1))
     return df.join(scored, key, "left")
