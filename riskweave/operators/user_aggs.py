@@ -11,7 +11,7 @@ chain of co-partitioned joins.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import (EPS, clip_lower, eps_ratio, error_rate_name, first_token_lower,
@@ -58,14 +58,14 @@ def distinct_counts(tx: DataFrame) -> DataFrame:
 
 
 def row_grain_aggregates(tx: DataFrame, error_groups=ALL_ERROR_GROUPS) -> DataFrame:
-    """A1-A9, A11, A12, A14 (first time), A16, A17, A24, A26 per user."""
+    """A1-A9, A11, A12, A14 (first time), A16, A24, A26 per user (the median
+    comes from ``amount_profile``, the main holder from ``main_holder``)."""
     aggs = [
         F.count(F.lit(1)).alias("tx_count"),
         F.avg("amount").alias("amount_mean"),
         F.coalesce(F.stddev_samp("amount"), F.lit(0.0)).alias("amount_std"),
         F.max("amount").alias("amount_max"),
         F.min("amount").alias("amount_min"),
-        F.median("amount").alias("amount_median"),
         F.sum("amount").alias("amount_sum"),
         rate_of(_status_is("fail")).alias("fail_status_coefficient"),
         rate_of(F.col("error_group") == "fraud").alias("fraud_error_rate"),
@@ -76,7 +76,6 @@ def row_grain_aggregates(tx: DataFrame, error_groups=ALL_ERROR_GROUPS) -> DataFr
         F.count_if(F.col("transaction_type") == "resign").alias("resign_count"),
         F.min("timestamp_tr").alias("first_timestamp_tr"),
         F.coalesce(F.stddev_samp(F.hour("timestamp_tr")), F.lit(0.0)).alias("hour_std"),
-        F.coalesce(F.mode("card_holder", True), F.lit("")).alias("main_card_holder"),
         rate_of(F.col("amount") <= F.lit(SMALL_AMOUNT)).alias("small_amount_rate"),
     ]
     for g in error_groups:
@@ -87,8 +86,6 @@ def row_grain_aggregates(tx: DataFrame, error_groups=ALL_ERROR_GROUPS) -> DataFr
     extra = {
         "amount_range": F.col("amount_max") - F.col("amount_min"),
         "amount_cv": F.col("amount_std") / (F.col("amount_mean") + F.lit(EPS)),
-        "holder_name_length": F.length("main_card_holder"),
-        "holder_name_words": word_count("main_card_holder"),
     }
     if "cvv error" in error_groups:
         extra[error_rate_name("cvv error")] = F.col("cvv_error_coef")
@@ -104,28 +101,61 @@ def hourly_burst(tx: DataFrame) -> DataFrame:
 
 
 def amount_profile(tx: DataFrame) -> DataFrame:
-    """A15, A22, A23 from (user, amount) counts.
+    """A2 median, A15, A22, A23 from (user, amount) counts.
 
     entropy (nats) = ln(N) - sum(n ln n)/N over non-null amounts;
-    mode concentration = largest non-null count / all rows (nulls included).
+    mode concentration = largest non-null count / all rows (nulls included);
+    median = linear interpolation between the order statistics at
+    floor/ceil(0.5 (N - 1)), found from running counts over the user's
+    distinct amounts (a sorted, spillable window over at most one row per
+    distinct amount, instead of ``median``'s in-memory map of a whole group).
     """
     per_amount = tx.groupBy("id_user", "amount").agg(F.count(F.lit(1)).alias("n"))
     nn = F.col("amount").isNotNull()
     n = F.col("n").cast("double")
-    prof = per_amount.groupBy("id_user").agg(
+    by_user = Window.partitionBy("id_user")
+    run = by_user.orderBy("amount").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cnt = F.when(nn, F.col("n")).otherwise(0)
+    ranked = (per_amount
+              .withColumn("_end", F.sum(cnt).over(run))
+              .withColumn("_pos", (F.sum(cnt).over(by_user) - 1) * 0.5)
+              .withColumn("_start", F.col("_end") - cnt))
+
+    def order_stat(r: Column) -> Column:
+        return F.max(F.when(nn & (F.col("_start") <= r) & (r < F.col("_end")), F.col("amount")))
+
+    prof = ranked.groupBy("id_user").agg(
         F.sum("n").alias("_rows"),
         F.sum(F.when(nn, n)).alias("_nn"),
         F.sum(F.when(nn, n * F.ln(n))).alias("_nlogn"),
         F.max(F.when(nn, F.col("n"))).alias("_top"),
         F.count(F.when(nn, F.lit(1))).alias("unique_amounts"),
+        F.first("_pos").alias("_p"),
+        order_stat(F.floor("_pos")).alias("_v0"),
+        order_stat(F.ceil("_pos")).alias("_v1"),
     )
     return prof.select(
         "id_user", "unique_amounts",
+        (F.col("_v0") + (F.col("_v1") - F.col("_v0")) * (F.col("_p") - F.floor("_p"))).alias("amount_median"),
         F.coalesce(F.ln("_nn") - F.col("_nlogn") / F.col("_nn"), F.lit(0.0)).alias("amount_entropy"),
         (F.col("_top") / F.col("_rows")).alias("amount_mode_concentration"),
     )
 
 
+def main_holder(tx: DataFrame) -> DataFrame:
+    """The user's most frequent non-null card holder (ties: the smallest
+    name), its length and word count.  (user, holder) counts combine map-side;
+    ``min_by`` over (-count, name) is a bounded aggregate, so no group's
+    distinct holders are gathered into one buffer."""
+    per_holder = (tx.filter(F.col("card_holder").isNotNull())
+                  .groupBy("id_user", "card_holder").agg(F.count(F.lit(1)).alias("n")))
+    top = per_holder.groupBy("id_user").agg(
+        F.min_by("card_holder", F.struct((-F.col("n")).alias("k"), F.col("card_holder").alias("h")))
+        .alias("main_card_holder"))
+    return top.withColumns({"holder_name_length": F.length("main_card_holder"),
+                            "holder_name_words": word_count("main_card_holder")})
+
+
 def card_reg_mismatch(tx: DataFrame, users: DataFrame) -> DataFrame:
     """A10: share of a user's transactions whose card country differs from the
     registration country (NULL on either side counts as a mismatch).

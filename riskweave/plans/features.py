@@ -20,7 +20,7 @@ from ..functions.exprs import email_domain, email_local, name_in_email
 from ..operators.cards import card_rollups
 from ..operators.sequences import HOUR_US, user_sequences
 from ..operators.user_aggs import (ZERO_FILL, amount_profile, card_reg_mismatch, hourly_burst,
-                                   interactions, per_tx_ratios, row_grain_aggregates, time_to_first)
+                                   interactions, main_holder, per_tx_ratios, row_grain_aggregates, time_to_first)
 
 SEQ_ZERO_FILL = ["max_consecutive_fails", "first_tx_failed", "fails_before_first_success",
                  "status_changes", "unique_cards_first_5", "is_cvv_error"]
@@ -59,6 +59,7 @@ def build_features(users: DataFrame, tx: DataFrame, tiebreak=("id_tx",),
     branches = [
         lambda: row_grain_aggregates(tx),
         lambda: amount_profile(tx),
+        lambda: main_holder(tx),
         lambda: card_reg_mismatch(tx, users),
         lambda: user_sequences(tx, tiebreak=tiebreak, segment_us=segment_us, with_burst=burst_in_seq),
         lambda: card_rollups(tx),

@@ -120,3 +120,19 @@ def test_last_10_cvv(spark):
 def test_fails_before_first_success_counts_all_statuses(spark):
     f = feats(spark, [{"status": None}, {"status": "fail"}, {"status": "success"}, {"status": "fail"}])[1]
     assert f["fails_before_first_success"] == 2
+
+
+def test_median_from_amount_counts_matches_numpy(spark):
+    import numpy as np
+    rng = np.random.default_rng(7)
+    rows, want = [], {}
+    for u, size in [(1, 1), (2, 2), (3, 7), (4, 200), (5, 3)]:
+        vals = [float(v) for v in rng.integers(0, 12, size)]     # many repeated amounts
+        if u == 5:
+            vals = [None] * size                                   # only NULL amounts -> NULL median
+        rows += [{"id_user": u, "amount": v} for v in vals] + [{"id_user": u, "amount": None}]
+        nn = [v for v in vals if v is not None]
+        want[u] = float(np.median(nn)) if nn else None
+    users = [{"id_user": u} for u in want]
+    got = {u: f["amount_median"] for u, f in feats(spark, rows, users).items()}
+    assert got == want
