@@ -46,13 +46,17 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; create a scratch one only
-    when the session has none (local tests)."""
+    when the session has none and runs in local mode (tests).  On a cluster
+    a missing setting is an error: executors cannot share a local folder."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: point it at a folder every executor "
+                               "can reach (HDFS, object store) before running riskweave jobs")
         configured = tempfile.mkdtemp(prefix="riskweave-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
