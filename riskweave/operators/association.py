@@ -72,10 +72,12 @@ def cramers_v_matrix(df: DataFrame, cols, na: str = "NA", yates: bool = True) ->
     v = F.when(k > 0, F.sqrt(F.col("chi2") / (F.col("total_n") * k))).otherwise(F.lit(0.0))
     names = F.array(*[F.lit(c) for c in cols])
     ij = F.split("pair", r"\|")
-    half = st.select(F.element_at(names, ij[0].cast("int") + 1).alias("col_a"),
-                     F.element_at(names, ij[1].cast("int") + 1).alias("col_b"), v.alias("cramers_v"))
-    return half.unionByName(half.filter(F.col("col_a") != F.col("col_b"))
-                            .select(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "cramers_v"))
+    a, b = F.element_at(names, ij[0].cast("int") + 1), F.element_at(names, ij[1].cast("int") + 1)
+    # both orientations from one pass (a union would evaluate the statistics twice)
+    both = F.when(ij[0] == ij[1], F.array(F.struct(a.alias("col_a"), b.alias("col_b")))).otherwise(
+        F.array(F.struct(a.alias("col_a"), b.alias("col_b")), F.struct(b.alias("col_a"), a.alias("col_b"))))
+    return (st.select(F.explode(both).alias("_ab"), v.alias("cramers_v"))
+            .select("_ab.col_a", "_ab.col_b", "cramers_v"))
 
 
 def theils_u(df: DataFrame, cols, y: str, na: str = "NA") -> DataFrame:
