@@ -17,7 +17,13 @@ from pyspark.sql import functions as F
 
 def exact_quantiles(df: DataFrame, col: str, probs, by: list[str] | None = None,
                     accuracy: int = 10000, max_rounds: int = 6) -> DataFrame:
-    """One row per group with ``q0, q1, ...`` (one column per prob) and ``n``."""
+    """One row per group with ``q0, q1, ...`` (one column per prob) and ``n``.
+
+    ``by`` is meant for a low-cardinality key (a label, a handful of feature
+    names): the bracket table (groups x probs rows) is broadcast and the
+    result is collected.  Per-entity quantiles belong in a grouped plan such
+    as ``user_aggs.amount_profile``.
+    """
     by = list(by or [])
     if not by:
         df, by = df.withColumn("_all", F.lit(0)), ["_all"]
