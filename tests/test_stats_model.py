@@ -91,3 +91,15 @@ def test_isolation_forest_is_deterministic_and_meets_contamination(spark):
     flagged = {r[0] for r in ra if r[2] == -1}
     assert abs(len(flagged) - 38) <= 2
     assert len(flagged & set(range(20))) >= 18
+
+
+def test_checkpoint_dir_required_off_local_mode():
+    from types import SimpleNamespace
+    from riskweave.session import ensure_checkpoint_dir
+    sc = SimpleNamespace(master="spark://cluster:7077", getCheckpointDir=lambda: None,
+                         setCheckpointDir=lambda d: pytest.fail("no local folder may be set on a cluster"))
+    fake = SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda k, d=None: d))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(fake)
+    shared = SimpleNamespace(master="yarn", getCheckpointDir=lambda: "hdfs:///ckpt/app-1", setCheckpointDir=None)
+    assert ensure_checkpoint_dir(SimpleNamespace(sparkContext=shared, conf=fake.conf)) == "hdfs:///ckpt/app-1"
