@@ -57,14 +57,15 @@ def collapse(df: DataFrame, cols) -> DataFrame:
 
 
 def knn_distances(queries: DataFrame, base: DataFrame, d: int, k: int, exclude_self: bool = False,
-                  n_buckets: int | None = None) -> DataFrame:
+                  n_buckets: int | None = None, base_is_written: bool = False) -> DataFrame:
     """Per distinct query vector ``v``: the k nearest base copies as rows
     (v, nv, dist, take) where ``take`` copies of base vector ``nv`` are used.
 
     ``queries``: (v); ``base``: (v, m).  A query equal to a base vector sees
     that vector's copies at distance 0 (minus one copy with ``exclude_self``).
     """
-    base = cut_lineage(base)                 # reused by every pass below
+    if not base_is_written:
+        base = cut_lineage(base)             # reused by every pass below
     n_distinct = base.count()
     if n_distinct <= BROADCAST_MAX_VECTORS:
         return _knn_broadcast(queries, base, d, k, exclude_self)
@@ -186,13 +187,19 @@ def _kth(cand: DataFrame, k: int) -> DataFrame:
     return (c.filter(F.col("_cum") >= k).groupBy("v").agg(F.min_by("dist", "_cum").alias("dist")))
 
 
-def knn_stats(queries: DataFrame, base: DataFrame, cols, k: int = 10, exclude_self: bool = False,
-              kth: int = 5, prefix: str = "knn") -> DataFrame:
+def knn_stats(queries: DataFrame, base: DataFrame | None, cols, k: int = 10, exclude_self: bool = False,
+              kth: int = 5, prefix: str = "knn", collapsed: DataFrame | None = None) -> DataFrame:
     """Per query row, mean, max and ``kth`` distance to its k nearest
-    base rows (train rows include themselves at distance 0)."""
+    base rows (train rows include themselves at distance 0).
+
+    ``collapsed``: the base already collapsed and written (``collapse`` +
+    ``cut_lineage``), to share one base between several query sets."""
     d = len(cols)
     qv = queries.withColumn("v", vector_col(cols))
-    nb = knn_distances(qv.select("v"), collapse(base, cols), d, k, exclude_self)
+    if collapsed is None:
+        nb = knn_distances(qv.select("v"), collapse(base, cols), d, k, exclude_self)
+    else:
+        nb = knn_distances(qv.select("v"), collapsed, d, k, exclude_self, base_is_written=True)
     stats = nb.groupBy("v").agg(
         (F.sum(F.col("dist") * F.col("take")) / F.lit(float(k))).alias(f"{prefix}_avg_dist"),
         F.max("dist").alias(f"{prefix}_max_dist"),

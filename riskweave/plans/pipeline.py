@@ -19,7 +19,7 @@ from ..operators.encode import target_encode_columns
 from ..operators.evaluate import best_threshold, classification_report, f1_at, threshold_sweep
 from ..operators.folds import assign_folds
 from ..operators.graph_oof import graph_features_apply, graph_features_oof
-from ..operators.knn import knn_stats
+from ..operators.knn import collapse, knn_stats
 from ..operators.model import (cv_f1, feature_importance, fit_gbt, model_matrix, oof_predict,
                                predict_labels, select_features)
 from ..operators.stats import class_balance
@@ -58,8 +58,9 @@ def prepare(train_users, train_tx, test_users, test_tx, seed: int = 42):
     p = robust_fit(tr, ANOMALY_FEATURES)
     tr_s = cut_lineage(robust_apply(tr.select("id_user", *ANOMALY_FEATURES), p))
     te_s = robust_apply(te.select("id_user", *ANOMALY_FEATURES), p)
-    k_tr = knn_stats(tr_s, tr_s, ANOMALY_FEATURES, k=10).select("id_user", "knn_avg_dist")
-    k_te = knn_stats(te_s, tr_s, ANOMALY_FEATURES, k=10).select("id_user", "knn_avg_dist")
+    base = cut_lineage(collapse(tr_s, ANOMALY_FEATURES))      # one training base for both sides
+    k_tr = knn_stats(tr_s, None, ANOMALY_FEATURES, k=10, collapsed=base).select("id_user", "knn_avg_dist")
+    k_te = knn_stats(te_s, None, ANOMALY_FEATURES, k=10, collapsed=base).select("id_user", "knn_avg_dist")
     tr = cut_lineage(tr.join(k_tr, "id_user", "left"))
     te = cut_lineage(te.join(k_te, "id_user", "left"))
     return tr, te

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators.anomaly import (ANOMALY_FEATURES, anomaly_quality, isolation_forest, lof, robust_fit,
                                  robust_apply)
 from ..operators.association import compare_scores
-from ..operators.knn import knn_stats
+from ..operators.knn import collapse, knn_stats
 from ..session import cut_lineage
 from .features import build_features
 from .registry import fixture, query
@@ -75,8 +75,9 @@ def q_robust(spark, sf_dir):
 @query("g08_g09_knn_distance", f"SELECT * FROM (WITH {KNN_CTES} SELECT * FROM knn) AS y")
 def q_knn(spark, sf_dir):
     tr, te = scaled(fixture(spark, sf_dir))
-    a = knn_stats(tr, tr, AF, k=10).withColumn("split", F.lit("train"))
-    b = knn_stats(te, tr, AF, k=10).withColumn("split", F.lit("test"))
+    base = cut_lineage(collapse(tr, AF))          # one training base for both query sets
+    a = knn_stats(tr, None, AF, k=10, collapsed=base).withColumn("split", F.lit("train"))
+    b = knn_stats(te, None, AF, k=10, collapsed=base).withColumn("split", F.lit("test"))
     cols = ["id_user", "split", "knn_avg_dist", "knn_max_dist", "knn_5th_dist"]
     return a.select(*cols).unionByName(b.select(*cols))
 
