@@ -36,15 +36,15 @@ def exact_quantiles(df: DataFrame, col: str, probs, by: list[str] | None = None,
     for _ in range(max_rounds):
         lo_p = [max(0.0, probs[i] - margin) for i in todo]
         hi_p = [min(1.0, probs[i] + margin) for i in todo]
+        # one sketch answers both ends of every bracket: lo_p then hi_p
         br = x.groupBy(*by).agg(F.count(F.lit(1)).alias("n"),
-                                F.percentile_approx("_x", lo_p, accuracy).alias("_lo"),
-                                F.percentile_approx("_x", hi_p, accuracy).alias("_hi"))
+                                F.percentile_approx("_x", lo_p + hi_p, accuracy).alias("_b"))
         targets = F.array(*[F.struct(F.lit(j).alias("j"), F.lit(probs[i]).alias("p"))
                             for j, i in enumerate(todo)])
-        br = (br.select(*by, "n", "_lo", "_hi", F.explode(targets).alias("_t"))
+        br = (br.select(*by, "n", "_b", F.explode(targets).alias("_t"))
               .select(*by, "n", F.col("_t.j").alias("j"), F.col("_t.p").alias("p"),
-                      F.element_at("_lo", F.col("_t.j") + 1).alias("lo"),
-                      F.element_at("_hi", F.col("_t.j") + 1).alias("hi"))
+                      F.element_at("_b", F.col("_t.j") + 1).alias("lo"),
+                      F.element_at("_b", F.col("_t.j") + 1 + len(todo)).alias("hi"))
               .withColumn("pos", F.col("p") * (F.col("n") - 1))
               .withColumn("r0", F.floor("pos").cast("long"))
               .withColumn("r1", F.ceil("pos").cast("long")))
