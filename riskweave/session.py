@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,11 +15,34 @@ SESSION_TZ = "UTC"
 
 
 def ensure_utc(spark: SparkSession) -> None:
-    """Pin the session time zone; hour() and date_trunc() depend on it."""
+    """Pin the session time zone (hour() and date_trunc() depend on it) and send the package to the workers."""
+    ship_package(spark)
     if spark.conf.get("spark.sql.session.timeZone", None) != SESSION_TZ:
         spark.conf.set("spark.sql.session.timeZone", SESSION_TZ)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once per application.
+
+    Functions that run in workers are pickled by reference, so workers must be
+    able to import them; ``addPyFile`` sends a zip through Spark's own file
+    distribution, whatever the working folder or ``PYTHONPATH``.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_riskweave_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    if package.suffix == ".zip" or not package.is_dir():        # already run from a shipped zip
+        return
+    target = os.path.join(tempfile.mkdtemp(prefix="riskweave-zip-"), "riskweave-package.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(package.rglob("*")):
+            if file.is_file() and "__pycache__" not in file.parts:
+                out.write(file, file.relative_to(package.parent))
+    sc.addPyFile(target)
+    sc._riskweave_shipped = True
+
+
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
                   app: str = "riskweave", driver_memory: str | None = "8g") -> SparkSession:
     """A local session with the settings the tests and bench use.
