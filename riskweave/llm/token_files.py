@@ -24,7 +24,6 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,42 +37,42 @@ from .common import Work, text_blocks, text_or_empty
 #: Ids of a block (a longer document makes a block of its own).
 BLOCK_IDS = 1 << 18
 #: Distinct chunks a Python worker remembers.
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 600_000
 
 MAGIC = b"RWT1"
 # White space before a word belongs to the word's chunk.  No alternative of the byte-level
 # pre-tokenizer runs on from a non-space into a space, so chunks are tokenized independently.
 _CHUNK = re.compile(r"\s*\S+|\s+")
 # Separators that Python counts as white space and the pre-tokenizer does not.
-_ODD_SPACE = re.compile("[\x1c-\x1f]")
+_ODD_SPACE = "\x1c\x1d\x1e\x1f"
 
 
-class ChunkEncoder:
-    """Encodes texts with a byte-level BPE of the tokenizers library, each
-    distinct chunk (a word with the white space before it) once per worker."""
+class ChunkEncoder(dict):
+    """Encodes texts with a byte-level BPE of the tokenizers library: chunk (a
+    word with the white space before it) to its little-endian uint32 ids, kept
+    for the worker's life while there is room."""
 
     def __init__(self, tokenizer_path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.known: dict[str, bytes] = {}
+        tokenizer = Tokenizer.from_file(tokenizer_path)
+        self.encode = getattr(tokenizer, "encode_batch_fast", tokenizer.encode_batch)
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        return [array("I", e.ids).tobytes() for e in encode(texts, add_special_tokens=False)]
+    def __missing__(self, chunk: str) -> bytes:
+        # a stop or comma after a letter is a token run of its own: the rest is looked up without it
+        if chunk[-1:] in (".", ",") and chunk[-2:-1].isalpha() and chunk[-2] < "\u0250":
+            ids = self[chunk[:-1]] + self[chunk[-1]]
+        else:
+            ids = array("I", self.encode([chunk], add_special_tokens=False)[0].ids).tobytes()
+        if len(self) < CACHE_CHUNKS:
+            self[chunk] = ids
+        return ids
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        """Little-endian uint32 ids of each text."""
-        chunks = [[t] if _ODD_SPACE.search(t) else _CHUNK.findall(t) for t in texts]
-        new = list(set(chain.from_iterable(chunks)).difference(self.known))
-        self.known.update(zip(new, self._encode(new), strict=True))
-        get = self.known.__getitem__
-        out = [b"".join(map(get, c)) for c in chunks]
-        if len(self.known) > CACHE_CHUNKS:
-            for c in new:
-                del self.known[c]
-        return out
+        """Ids of each text."""
+        get = self.__getitem__
+        return [b"".join(map(get, [t] if any(c in t for c in _ODD_SPACE) else _CHUNK.findall(t))) for t in texts]
 
 
 _encoders: dict[str, ChunkEncoder] = {}
