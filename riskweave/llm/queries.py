@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, digest_index, mixing, privacy, resampling, simhash, token_files
+from . import chat, digest_index, mixing, privacy, resampling, simhash, suffix_dedup, token_files
 from .common import Work, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,6 +71,11 @@ def op4_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return privacy.digest_spans(privacy.find_private(documents(spark, sf_dir)))
 
 
+@query()
+def op7_suffix_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(documents(spark, sf_dir)).drop("mark")
+
+
 @query("""
 WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g') AS norm FROM documents),
 g AS (SELECT norm, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY norm)

@@ -72,7 +72,11 @@ class ChunkEncoder(dict):
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text."""
         get = self.__getitem__
-        return [b"".join(map(get, [t] if any(c in t for c in _ODD_SPACE) else _CHUNK.findall(t))) for t in texts]
+        out = [b"" if any(c in t for c in _ODD_SPACE) else b"".join(map(get, _CHUNK.findall(t))) for t in texts]
+        odd = [k for k, t in enumerate(texts) if any(c in t for c in _ODD_SPACE)]
+        for k, e in zip(odd, self.encode([texts[k] for k in odd], add_special_tokens=False), strict=True):
+            out[k] = array("I", e.ids).tobytes()
+        return out
 
 
 _encoders: dict[str, ChunkEncoder] = {}
