@@ -114,33 +114,33 @@ def mix64(x: np.ndarray, seed: int = 0) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_BYTE = mix64(np.arange(256, dtype=U64), 11)
-_BYTE_LOWER = _BYTE.copy()
-_BYTE_LOWER[65:91] = _BYTE[97:123]
-_powers: dict[str, np.ndarray] = {}
+_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+_BYTES = [mix64(np.arange(256, dtype=U64), 11 + k) for k in range(2)]
+_LOWER = [b.copy() for b in _BYTES]
+for _plain, _low in zip(_BYTES, _LOWER, strict=True):
+    _low[65:91] = _plain[97:123]
+_powers: dict[int, np.ndarray] = {}
 
 
-def _power(n: int, inverse: bool) -> np.ndarray:
-    key = "inv" if inverse else "pow"
-    if key not in _powers or len(_powers[key]) < n:
-        base = pow(_BASE, -1, 1 << 64) if inverse else _BASE
+def _power(base: int, n: int) -> np.ndarray:
+    """base^0, base^1, ... modulo 2^64, at least n of them."""
+    if base not in _powers or len(_powers[base]) < n:
         steps = np.full(max(n, 1 << 16), base, U64)
         steps[0] = 1
-        _powers[key] = np.cumprod(steps, dtype=U64)
-    return _powers[key]
+        _powers[base] = np.cumprod(steps, dtype=U64)
+    return _powers[base]
 
 
 class SpanHash:
     """Hashes of arbitrary byte spans of one block in O(1) each: a prefix sum
     of byte codes times powers of an odd base modulo 2^64, shifted back by the
-    base's inverse and mixed."""
+    base's inverse and mixed.  ``other``: an independent second hash."""
 
-    def __init__(self, data: np.ndarray, lower: bool = False):
-        n = len(data)
+    def __init__(self, data: np.ndarray, lower: bool = False, other: bool = False):
+        n, base = len(data), _BASES[other]
         self.sums = np.zeros(n + 1, U64)
-        np.cumsum((_BYTE_LOWER if lower else _BYTE)[data] * _power(n + 1, False)[:n], dtype=U64, out=self.sums[1:])
-        self.inverse = _power(n + 1, True)
+        np.cumsum((_LOWER if lower else _BYTES)[other][data] * _power(base, n + 1)[:n], dtype=U64, out=self.sums[1:])
+        self.inverse = _power(pow(base, -1, 1 << 64), n + 1)
 
     def __call__(self, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
         return mix64((self.sums[end] - self.sums[start]) * self.inverse[start]

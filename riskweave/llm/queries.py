@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, digest_index, mixing, privacy, resampling, simhash, suffix_dedup, token_files
+from . import chat, compact_windows, decontamination, digest_index, mixing, privacy, resampling, simhash, suffix_dedup, token_files
 from .common import Work, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,6 +71,16 @@ def op4_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return privacy.digest_spans(privacy.find_private(documents(spark, sf_dir)))
 
 
+@query()
+def op5_latent_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark")).drop("mark")
+
+
+@query()
+def op6_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compact_windows.passage_classes(documents(spark, sf_dir)).drop("mark")
+
+
 @query()
 def op7_suffix_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(documents(spark, sf_dir)).drop("mark")

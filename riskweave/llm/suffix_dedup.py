@@ -32,18 +32,16 @@ in texts shorter than ``LENGTH``, which stay whole.
 
 from __future__ import annotations
 
-import gc
 import hashlib
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SpanHash, Work, mix64, text_blocks, text_or_empty
+from .common import SpanHash, Work, mix64
+from .layout import Layout, release
 
 LENGTH = 100
 # fixed values: a perfect difference set (every residue is a difference of two members)
@@ -53,7 +51,7 @@ SAMPLE = LENGTH - MODULUS + 1
 #: Bytes of one bucket's shuffled elements, about.
 BUCKET_BYTES = 24 << 20
 #: Bytes a pass shuffles, as a share of the text's bytes.
-PASS_SHARE = 0.6
+PASS_SHARE = 0.8
 
 _IN_COVER = np.zeros(MODULUS, bool)
 _IN_COVER[list(COVER)] = True
@@ -61,30 +59,6 @@ _ELEMENT = "bucket int, part long, block long, hashes binary, checks binary, off
 _MARKS = "block long, offsets binary"
 
 
-class SecondHash:
-    """A 32-bit hash of fixed-length strings, independent of ``SpanHash`` (other byte codes and base)."""
-
-    def __init__(self, data: np.ndarray):
-        codes = mix64(np.arange(256, dtype=np.uint64), 77)[data]
-        # doubling: hash of 2^k bytes from two of 2^(k-1)
-        self.levels = [codes]
-        self.n = len(data)
-
-    def at(self, places: np.ndarray, length: int) -> np.ndarray:
-        while 1 << len(self.levels) <= length:
-            half, last = 1 << (len(self.levels) - 1), self.levels[-1]
-            step = last * np.uint64(0xD6E8FEB86659FD93)
-            step[:max(0, self.n - half)] ^= last[half:] >> np.uint64(13)
-            step[:max(0, self.n - half)] += last[half:]
-            self.levels.append(step)
-        out, at, left = np.zeros(len(places), np.uint64), places, length
-        for k in reversed(range(len(self.levels))):
-            if left >> k & 1:
-                out = mix64(out, 5) + self.levels[k][at]
-                at, left = at + (1 << k), left - (1 << k)
-        return (mix64(out, 6) >> np.uint64(32)).astype(np.uint32)
-
-
 def _layout(lens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Document offsets, and for each byte its place in the document and the bytes from there to the end."""
     offs = np.concatenate([[0], np.cumsum(lens)])
@@ -189,26 +163,6 @@ def _marks(batch: pa.RecordBatch, row: int) -> np.ndarray:
     return np.concatenate([np.frombuffer(x, "<u4") for x in got]).astype(np.int64) if got else np.zeros(0, np.int64)
 
 
-def _lay_out(rows: DataFrame) -> DataFrame:
-    """Blocks (block, doc_ids, hashes, lens, text) of ``rows`` (doc_id, mark, text) in document order."""
-    order = (F.col("doc_id").asc_nulls_last(), F.col("mark"))
-    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, k = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            for lo, hi, data, offs in text_blocks(batch.column("text")):
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([(part << 32) + k], pa.int64()),
-                    pa.array([batch.column("doc_id").slice(lo, hi - lo).to_pylist()], pa.list_(pa.int64())),
-                    pa.array([batch.column("mark").slice(lo, hi - lo).to_pylist()], pa.list_(pa.int64())),
-                    pa.array([np.diff(offs)], pa.list_(pa.int64())),
-                    pa.array([data.tobytes()], pa.binary())], ["block", "doc_ids", "marks_of", "lens", "text"])
-                k += 1
-
-    return rows.mapInArrow(run, "block long, doc_ids array<long>, marks_of array<long>, lens array<long>, text binary")
-
-
 def _tied_samples(blocks: DataFrame, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -234,7 +188,7 @@ def _repeats(marked: DataFrame, buckets: int, passes: int, turn: int) -> DataFra
                 data = np.frombuffer(batch.column("text")[row].as_buffer(), np.uint8)
                 at = candidate_places(np.array(batch.column("lens")[row].as_py(), np.int64), tied)
                 rows = list(_elements(batch.column("block")[row].as_py(), SpanHash(data)(at, at + LENGTH),
-                                      SecondHash(data).at(at, LENGTH), at, buckets, passes, turn, False))
+                                      (SpanHash(data, other=True)(at, at + LENGTH) >> np.uint64(32)).astype(np.uint32), at, buckets, passes, turn, False))
                 if rows:
                     yield _batch(rows)
 
@@ -267,40 +221,15 @@ def _judge(marked: DataFrame) -> DataFrame:
     return marked.mapInArrow(run, "doc_id long, mark long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def _release(work: Work) -> None:
-    """Let the driver drop the shuffle files of plans that are done."""
-    gc.collect()
-    work.spark.sparkContext._jvm.System.gc()
-
-
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, mark (hash of the text), n_bytes, n_removed, n_spans, kept_sha256."""
-    spark = df.sparkSession
-    with Work(spark, "suffix") as work:
-        rows = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-        rows = rows.withColumn("mark", F.xxhash64("text")).withColumn("digest", F.unhex(F.md5("text")))
-        # one row per text: its first document, and how many rows it has there
-        ids = work.cut(rows.groupBy("digest", "doc_id").agg(F.count("*").alias("n")), "ids")
-        firsts = work.cut(ids.groupBy("digest").agg(F.min("doc_id").alias("first")), "firsts")
-        kept = (rows.join(firsts, "digest").filter(F.col("doc_id").eqNullSafe(F.col("first"))))
-        again = work.cut(ids.join(firsts, "digest").filter(F.col("doc_id").eqNullSafe(F.col("first")) & (F.col("n") > 1))
-                         .select("digest"), "again")
-        once = kept.join(again, "digest", "left_anti")
-        several = kept.join(again, "digest", "left_semi").dropDuplicates(["digest"])
-        laid = _lay_out(once.unionAll(several).select("doc_id", "mark", "text"))
-
-        total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-        files = max(8, -(-total // (16 << 20)))
-        table = f"rw_blocks_{uuid.uuid4().hex[:12]}"
-        (laid.write.format("parquet").option("compression", "zstd").bucketBy(files, "block").sortBy("block")
-         .option("path", work.path("blocks")).saveAsTable(table))
+    with Work(df.sparkSession, "suffix") as work:
+        laid = Layout(work, df, id_col, text_col)
+        blocks, total, ids, firsts = laid.blocks, laid.total, laid.ids, laid.firsts
         try:
-            del kept, once, several, laid
-            _release(work)
-            blocks = spark.table(table)
             buckets = max(16, -(-int(total * len(COVER) / MODULUS * 8) // BUCKET_BYTES))
             tied = work.cut(_tied_samples(blocks, buckets), "tied")
-            _release(work)
+            release(work)
             samples = tied.agg(F.sum(F.octet_length("offsets") / 4)).first()[0] or 0
             expected = samples * MODULUS / len(COVER) * 16
             passes = max(1, -(-int(expected) // max(1, int(total * PASS_SHARE))))
@@ -314,18 +243,16 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             repeats = None
             for turn in range(passes):
                 got = work.cut(_repeats(marked(tied, "inner"), buckets, passes, turn), f"repeats-{turn}")
-                _release(work)
+                release(work)
                 repeats = got if repeats is None else repeats.unionAll(got)
             judged = work.cut(_judge(marked(repeats, "left")), "judged")
         finally:
-            spark.sql(f"DROP TABLE IF EXISTS {table}")
+            laid.close()
 
-        texts = work.cut(rows.select("digest", "mark", F.octet_length("text").alias("size")).groupBy("digest")
-                         .agg(F.min("mark").alias("mark"), F.min("size").alias("size")).join(firsts, "digest"), "texts")
         same = F.col("t.first").eqNullSafe(F.col("j.doc_id")) & (F.col("t.mark") == F.col("j.mark"))
-        texts = texts.alias("t").join(judged.alias("j"), same).select(
+        texts = firsts.alias("t").join(judged.alias("j"), same).select(
             "t.digest", "t.first", "t.mark", "j.n_bytes", "j.n_removed", "j.n_spans", "j.kept_sha256")
-        out = (ids.join(texts, "digest").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
+        out = (ids.drop("mark").join(texts, "digest").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
                .withColumn("whole", (F.col("n_bytes") >= LENGTH)
                            & ~(F.col("doc_id").eqNullSafe(F.col("first")) & (F.col("copy") == 1))))
         empty = hashlib.sha256(b"").hexdigest()
