@@ -1,7 +1,7 @@
-"""Distinct texts in document order, laid out in blocks of a few MB.
+"""Texts laid out in blocks of a few MB: all of them in document order, or the distinct ones.
 
-Block ids ascend with the documents, so (block, place) orders places of the
-corpus.  The blocks are a Parquet table bucketed by block id: jobs that send
+In document order block ids ascend with the documents, so (block, place)
+orders the places of the corpus.  The blocks are a Parquet table bucketed by block id: jobs that send
 marks back to their blocks join them where the text lies, without a shuffle of
 the text.
 """
@@ -9,6 +9,7 @@ the text.
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -24,9 +25,6 @@ BUCKET_TEXT = 16 << 20
 
 
 def _lay_out(rows: DataFrame) -> DataFrame:
-    order = (F.col("doc_id").asc_nulls_last(), F.col("mark"))
-    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, k = TaskContext.get().partitionId(), 0
         for batch in batches:
@@ -43,31 +41,34 @@ def _lay_out(rows: DataFrame) -> DataFrame:
 
 
 class Layout:
-    """``ids`` (digest, doc_id, n): the rows of each text; ``firsts`` (digest, first, mark): its first document;
-    ``blocks`` (block, doc_ids, marks_of, lens, text): the first documents' texts; ``total``: bytes of all texts.
+    """``blocks`` (block, doc_ids, marks_of, lens, text; ``marks_of``: a hash of each text), ``total``: bytes of all texts.
 
-    Rows are ordered by id (null last), then by a hash of the text; of rows equal in both one is laid out.
+    In document order every row is laid out, by id (null last), then by a hash of the text.  With
+    ``distinct`` each text is laid out once, with its least id, in no order; ``ids`` (digest, doc_id, n, mark) has the
+    rows of each text and ``firsts`` (digest, first, mark) its least id.
     """
 
-    def __init__(self, work: Work, df: DataFrame, id_col: str, text_col: str):
+    def __init__(self, work: Work, df: DataFrame, id_col: str, text_col: str, distinct: bool = False):
         self.work, self.table = work, f"rw_blocks_{uuid.uuid4().hex[:12]}"
         rows = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-        rows = rows.withColumn("mark", F.xxhash64("text")).withColumn("digest", F.unhex(F.md5("text")))
-        self.ids = work.cut(rows.groupBy("digest", "doc_id").agg(
-            F.count("*").alias("n"), F.min("mark").alias("mark"), F.sum(F.octet_length("text")).alias("bytes")), "ids")
-        self.total = self.ids.agg(F.sum("bytes")).first()[0] or 0
-        self.firsts = work.cut(self.ids.groupBy("digest").agg(F.min("doc_id").alias("first"), F.min("mark").alias("mark")),
-                               "firsts")
-        first = F.col("doc_id").eqNullSafe(F.col("first"))
-        kept = rows.join(self.firsts.drop("mark"), "digest").filter(first)
-        again = work.cut(self.ids.drop("mark").join(self.firsts, "digest").filter(first & (F.col("n") > 1)).select("digest"), "again")
-        laid = _lay_out(kept.join(again, "digest", "left_anti")
-                        .unionAll(kept.join(again, "digest", "left_semi").dropDuplicates(["digest"]))
-                        .select("doc_id", "mark", "text"))
+        rows = rows.withColumn("mark", F.xxhash64("text"))
+        if distinct:
+            digest = F.unhex(F.md5("text"))
+            self.ids = work.cut(rows.withColumn("digest", digest).groupBy("digest", "doc_id").agg(
+                F.count("*").alias("n"), F.min("mark").alias("mark"), F.min(F.octet_length("text")).alias("bytes")), "ids")
+            self.total = self.ids.agg(F.sum("bytes")).first()[0] or 0
+            self.firsts = self.ids.groupBy("digest").agg(F.min("doc_id").alias("first"), F.min("mark").alias("mark"))
+            # each task sends a text once, however many copies it read
+            placed = rows.groupBy(digest.alias("digest")).agg(
+                F.min("doc_id").alias("doc_id"), F.any_value("mark").alias("mark"), F.any_value("text").alias("text")).drop("digest")
+        else:
+            self.total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+            order = (F.col("doc_id").asc_nulls_last(), F.col("mark"))
+            placed = rows.repartitionByRange(*order).sortWithinPartitions(*order)
         files = max(8, -(-self.total // BUCKET_TEXT))
-        (laid.write.format("parquet").option("compression", "zstd").bucketBy(files, "block").sortBy("block")
+        (_lay_out(placed).write.format("parquet").option("compression", "zstd").bucketBy(files, "block").sortBy("block")
          .option("path", work.path("blocks")).saveAsTable(self.table))
-        del rows, kept, laid
+        del rows, placed
         release(work)
         self.blocks = work.spark.table(self.table)
 
@@ -79,3 +80,4 @@ def release(work: Work) -> None:
     """Let the driver drop the shuffle files of plans that are done."""
     gc.collect()
     work.spark.sparkContext._jvm.System.gc()
+    time.sleep(0.5)                                           # the cleaner works beside the driver

@@ -5,9 +5,8 @@ in the corpus (smaller document, or same document and earlier start), judged
 on the input.  Suffixes count to a depth of ``LENGTH`` bytes and never run
 over the end of their document, so only equality to that depth matters.
 
-1. Documents that are whole copies of an earlier one (of ``LENGTH`` bytes or
-   more) are covered entirely and are set aside.  The others are laid out in
-   document order in blocks of a few MB, whose ids ascend with the documents.
+1. Documents are laid out in order in blocks of a few MB, whose ids ascend
+   with the documents.
 2. Cover sample: in each document the places whose number modulo 57 is in a
    perfect difference set.  Of two equal 100-byte strings some pair of sample
    places lies at the same depth, at most 56, so the 44 bytes from there are
@@ -25,9 +24,8 @@ their own repeats first.  Two different strings of 100 bytes would have to
 agree in two independent hashes (64 and 32 bits) to be confused.
 
 Edge cases: a null text is empty; null ids sort last, rows of one id are
-ordered by a hash of the text and rows equal in both count as copies, one
-after the other; an empty table gives no rows; invalid positions do not occur
-in texts shorter than ``LENGTH``, which stay whole.
+ordered by a hash of the text and rows equal in both lie one after the other; texts shorter than
+``LENGTH`` stay whole; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -225,7 +223,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row per input row: doc_id, mark (hash of the text), n_bytes, n_removed, n_spans, kept_sha256."""
     with Work(df.sparkSession, "suffix") as work:
         laid = Layout(work, df, id_col, text_col)
-        blocks, total, ids, firsts = laid.blocks, laid.total, laid.ids, laid.firsts
+        blocks, total = laid.blocks, laid.total
         try:
             buckets = max(16, -(-int(total * len(COVER) / MODULUS * 8) // BUCKET_BYTES))
             tied = work.cut(_tied_samples(blocks, buckets), "tied")
@@ -241,22 +239,12 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 return blocks.join(places.hint("merge"), "block", how)
 
             repeats = None
-            for turn in range(passes):
+            for turn in range(passes if samples else 0):
                 got = work.cut(_repeats(marked(tied, "inner"), buckets, passes, turn), f"repeats-{turn}")
                 release(work)
                 repeats = got if repeats is None else repeats.unionAll(got)
-            judged = work.cut(_judge(marked(repeats, "left")), "judged")
+            if repeats is None:
+                repeats = df.sparkSession.createDataFrame([], _MARKS)
+            return work.result(_judge(marked(repeats, "left")))
         finally:
             laid.close()
-
-        same = F.col("t.first").eqNullSafe(F.col("j.doc_id")) & (F.col("t.mark") == F.col("j.mark"))
-        texts = firsts.alias("t").join(judged.alias("j"), same).select(
-            "t.digest", "t.first", "t.mark", "j.n_bytes", "j.n_removed", "j.n_spans", "j.kept_sha256")
-        out = (ids.drop("mark").join(texts, "digest").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
-               .withColumn("whole", (F.col("n_bytes") >= LENGTH)
-                           & ~(F.col("doc_id").eqNullSafe(F.col("first")) & (F.col("copy") == 1))))
-        empty = hashlib.sha256(b"").hexdigest()
-        return work.result(out.select(
-            "doc_id", "mark", "n_bytes", F.when(F.col("whole"), F.col("n_bytes")).otherwise(F.col("n_removed")).alias("n_removed"),
-            F.when(F.col("whole"), F.lit(1)).otherwise(F.col("n_spans")).cast("long").alias("n_spans"),
-            F.when(F.col("whole"), F.lit(empty)).otherwise(F.col("kept_sha256")).alias("kept_sha256")))
