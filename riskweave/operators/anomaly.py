@@ -207,7 +207,7 @@ def isolation_forest(df: DataFrame, cols, n_trees: int = 200, max_samples: int =
             s = -np.power(2.0, -(depth / len(packed)) / norm)
             yield pd.DataFrame({key: pdf[key], "_raw": s})
 
-    raw = cut_lineage(df.select(F.col(key), x.alias("x")).mapInPandas(score, schema=f"{key} long, _raw double"))
+    raw = cut_lineage(df.select(F.col(key), x.alias("x")).mapInPandas(score, schema=f"`{key}` {df.schema[key].dataType.simpleString()}, _raw double"))
     offset = exact_quantiles(raw, "_raw", [float(contamination)]).first()["q0"]
     scored = raw.select(key, (F.col("_raw") - F.lit(offset)).alias("iso_score"))
     scored = scored.withColumn("iso_label", F.when(F.col("iso_score") < 0, -1).otherwise(1))

@@ -13,7 +13,8 @@
    bounded broadcast list), keeps d <= r_q and takes the k nearest copies.
 
 Queries and base are hash-partitioned on the bucket, so a popular region
-spreads by AQE skew handling; no step builds all pairs of a group.  Ties at
+spreads by AQE skew handling; a query meets the vectors of the buckets its
+band overlaps, about 8 (k + 1) each.  Ties at
 equal distance are broken by the vector itself (lexicographic), so the
 choice is deterministic.
 """
@@ -22,8 +23,6 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -67,15 +66,13 @@ def knn_distances(queries: DataFrame, base: DataFrame, d: int, k: int, exclude_s
     if not base_is_written:
         base = cut_lineage(base)             # reused by every pass below
     n_distinct = base.count()
-    if n_distinct <= BROADCAST_MAX_VECTORS:
-        return _knn_broadcast(queries, base, d, k, exclude_self)
     if n_buckets is None:
-        n_buckets = max(1, min(1024, n_distinct // (8 * (k + 1))))
+        n_buckets = max(1, n_distinct // (8 * (k + 1)))
     b = base.withColumn("s", _proj("v", d))
     q = queries.select("v").distinct().withColumn("s", _proj("v", d))
     if n_buckets > 1:
         probs = [i / n_buckets for i in range(1, n_buckets)]
-        bounds = b.agg(F.percentile_approx("s", probs, 10000).alias("bounds")).first()["bounds"]
+        bounds = b.agg(F.percentile_approx("s", probs, max(10000, 4 * n_buckets)).alias("bounds")).first()["bounds"]
         bounds = sorted(set(float(x) for x in bounds))
     else:
         bounds = []
@@ -100,10 +97,15 @@ def knn_distances(queries: DataFrame, base: DataFrame, d: int, k: int, exclude_s
     cand = (cand_keys.join(b.select("bk", "rk", F.col("v").alias("nv"), "m"), ["bk", "rk"])
             .withColumn("dist", _dist("v", "nv", d)))
     cand = _self_adjust(cand, exclude_self)
-    radius = _kth(cand, k).select("v", F.col("dist").alias("r"))
+    radius = cut_lineage(q.join(_radius(cand, k), "v", "left"))
+    # a bucket with too few copies: the distance to any k copies is an upper bound too, so k fixed rows
+    # serve; a base of fewer than k copies is taken whole
+    anchors = b.orderBy("s", "v").limit(k + 1).select(F.col("v").alias("nv"), "m")
+    far = _self_adjust(radius.filter("r is null").select("v").crossJoin(F.broadcast(anchors))
+                       .withColumn("dist", _dist("v", "nv", d)), exclude_self)
+    qb = (radius.join(_radius(far, k).withColumnRenamed("r", "far"), "v", "left")
+          .withColumn("r", F.coalesce("r", "far", F.lit(float("inf")))).drop("far"))
     # exact band pass
-    qb = (q.join(radius, "v", "left")
-          .withColumn("r", F.coalesce("r", F.lit(float("inf")))))
     lo, hi = F.col("s") - F.col("r"), F.col("s") + F.col("r")
     qb = qb.withColumn("bk", F.explode(F.sequence(bucket_of(lo), bucket_of(hi))))
     pairs = (qb.join(b.select("bk", F.col("v").alias("nv"), F.col("s").alias("ns"), "m"), "bk")
@@ -120,58 +122,6 @@ def knn_distances(queries: DataFrame, base: DataFrame, d: int, k: int, exclude_s
             .select("v", "nv", "dist", "take", "first_copy"))
 
 
-# A collapsed base up to this many distinct vectors is broadcast (checked
-# count; 20,000 x d doubles, ~2 MB at d = 14); larger bases use the band join.
-BROADCAST_MAX_VECTORS = 20_000
-_OUT_SCHEMA = "v array<double>, nv array<double>, dist double, take long, first_copy long"
-
-
-def _knn_broadcast(queries: DataFrame, base: DataFrame, d: int, k: int, exclude_self: bool) -> DataFrame:
-    """Same rows as the band join, for a base of bounded size: the base is
-    broadcast once and each query partition ranks it with numpy (distance
-    summed in coordinate order, ties by rounded distance then vector)."""
-    pdf = base.toPandas()                                  # bounded by BROADCAST_MAX_VECTORS
-    B = np.array(pdf["v"].tolist(), dtype=np.float64).reshape(-1, d)
-    M = pdf["m"].to_numpy(np.int64)
-    lex = np.empty(len(B), np.int64)
-    lex[np.lexsort(B.T[::-1])] = np.arange(len(B))
-    bc = base.sparkSession.sparkContext.broadcast((B, M, lex))
-
-    def rank(it):
-        B, M, lex = bc.value
-        for part in it:
-            Q = np.array(part["v"].tolist(), dtype=np.float64).reshape(-1, d)
-            rows = []
-            for s0 in range(0, len(Q), 256):
-                Qc = Q[s0:s0 + 256]
-                acc = np.zeros((len(Qc), len(B)))
-                for j in range(d):
-                    diff = Qc[:, None, j] - B[None, :, j]
-                    acc += diff * diff
-                D = np.sqrt(acc)
-                R = np.round(D, 9)
-                for a in range(len(Qc)):
-                    m = M
-                    if exclude_self:
-                        m = M.copy()
-                        m[(D[a] == 0) & np.all(B == Qc[a], axis=1)] -= 1
-                    idx = np.flatnonzero(m > 0)
-                    if len(idx) > k:
-                        kth = np.partition(R[a, idx], k - 1)[k - 1]
-                        idx = idx[R[a, idx] <= kth]
-                    o = idx[np.lexsort((lex[idx], R[a, idx]))][:k]
-                    mo = m[o]
-                    cum = np.cumsum(mo)
-                    take = np.minimum(mo, np.maximum(0, k - (cum - mo)))
-                    qv = Qc[a].tolist()
-                    for bi, t, c0 in zip(o, take, cum - mo + 1):
-                        if t > 0:
-                            rows.append((qv, B[bi].tolist(), float(D[a, bi]), int(t), int(c0)))
-            yield pd.DataFrame(rows, columns=["v", "nv", "dist", "take", "first_copy"])
-
-    return queries.select("v").distinct().mapInPandas(rank, schema=_OUT_SCHEMA)
-
-
 def _self_adjust(pairs: DataFrame, exclude_self: bool) -> DataFrame:
     if not exclude_self:
         return pairs
@@ -179,12 +129,20 @@ def _self_adjust(pairs: DataFrame, exclude_self: bool) -> DataFrame:
     return pairs.withColumn("m", F.when(same, F.col("m") - 1).otherwise(F.col("m"))).filter(F.col("m") > 0)
 
 
-def _kth(cand: DataFrame, k: int) -> DataFrame:
-    """Distance at which the copies of the candidates reach k (per query)."""
+def _radius(cand: DataFrame, k: int) -> DataFrame:
+    """(v, r): a radius that holds every copy the ordering can put among the k nearest.
+
+    Neighbours are ordered by distance rounded to 9 places, then by vector,
+    so the k-th copy may be nearer in rounded and farther in raw distance than
+    another: the radius is the largest raw distance among the copies up to k,
+    plus the rounding.
+    """
     w = Window.partitionBy("v").orderBy(F.round("dist", 9), "nv")
     c = (cand.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k)
          .withColumn("_cum", F.sum("m").over(w.rowsBetween(Window.unboundedPreceding, 0))))
-    return (c.filter(F.col("_cum") >= k).groupBy("v").agg(F.min_by("dist", "_cum").alias("dist")))
+    return (c.filter(F.col("_cum") - F.col("m") < k).groupBy("v")
+            .agg(F.max("dist").alias("r"), F.max("_cum").alias("_have")).filter(F.col("_have") >= k)
+            .select("v", (F.col("r") * (1 + 1e-12) + 2e-9).alias("r")))
 
 
 def knn_stats(queries: DataFrame, base: DataFrame | None, cols, k: int = 10, exclude_self: bool = False,

@@ -97,23 +97,27 @@ def describe_cat(df: DataFrame, c: str) -> DataFrame:
 def histogram(df: DataFrame, c: str, bins: int = 100, by: str | None = None,
               transform: str | None = "log1p", density: bool = True) -> DataFrame:
     """Equal-width histogram over each class's own [min, max]; the last
-    bin is closed on the right.  Output: class, bin, edges, count, density."""
+    bin is closed on the right, empty bins are listed, a constant class is
+    widened by 0.5 on both sides.  Output: class, bin, edges, count, density."""
     val = F.log1p(F.col(c)) if transform == "log1p" else F.col(c)
     if not by:
         df = df.withColumn("_all", F.lit(0))
     keys = [by or "_all"]
     d = df.select(*keys, val.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
     rng = d.groupBy(*keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count(F.lit(1)).alias("_n"))
-    # one row per class: a bounded broadcast side
-    j = d.join(F.broadcast(rng), keys)
-    w = (F.col("_hi") - F.col("_lo")) / F.lit(bins)
-    b = F.when(w == 0, F.lit(0)).otherwise(
-        F.least(F.floor((F.col("_v") - F.col("_lo")) / w), F.lit(bins - 1))).cast("int")
-    h = j.withColumn("bin", b).groupBy(*keys, "bin", "_lo", "_hi", "_n").agg(F.count(F.lit(1)).alias("count"))
+    # numpy widens the range of a constant class by half a unit on both sides
+    flat = F.col("_lo") == F.col("_hi")
+    rng = rng.withColumns({"_lo": F.when(flat, F.col("_lo") - 0.5).otherwise(F.col("_lo")),
+                           "_hi": F.when(flat, F.col("_hi") + 0.5).otherwise(F.col("_hi"))})
     width = (F.col("_hi") - F.col("_lo")) / F.lit(bins)
-    out = h.select(*keys, "bin", (F.col("_lo") + F.col("bin") * width).alias("bin_lo"),
-                   (F.col("_lo") + (F.col("bin") + 1) * width).alias("bin_hi"), "count",
-                   (F.col("count") / (F.col("_n") * width)).alias("density"))
+    j = d.join(rng, keys)
+    b = F.least(F.floor((F.col("_v") - F.col("_lo")) / width), F.lit(bins - 1)).cast("int")
+    h = j.groupBy(*keys, b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    grid = rng.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))      # empty bins count 0
+    out = grid.join(h, [*keys, "bin"], "left").withColumn("count", F.coalesce("count", F.lit(0))).select(
+        *keys, "bin", (F.col("_lo") + F.col("bin") * width).alias("bin_lo"),
+        (F.col("_lo") + (F.col("bin") + 1) * width).alias("bin_hi"), "count",
+        (F.col("count") / (F.col("_n") * width)).alias("density"))
     out = out if density else out.drop("density")
     return out.drop("_all")
 

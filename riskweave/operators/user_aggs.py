@@ -172,15 +172,10 @@ def card_reg_mismatch(tx: DataFrame, users: DataFrame) -> DataFrame:
 
 def type_shares(tx: DataFrame, types=TX_TYPES) -> DataFrame:
     """Each transaction type's share of the user's typed transactions,
-    one column per type (explicit value list: stable schema, no extra job)."""
-    counts = tx.filter(F.col("transaction_type").isNotNull()).groupBy("id_user").pivot(
-        "transaction_type", list(types)).agg(F.count(F.lit(1)))
-    total = None
-    for t in types:
-        c = F.coalesce(F.col(f"`{t}`"), F.lit(0))
-        total = c if total is None else total + c
-    return counts.select("id_user", *[
-        (F.coalesce(F.col(f"`{t}`"), F.lit(0)) / total).alias(f"tx_type_{t}_rate") for t in types])
+    one column per listed type; a type outside the list counts in the total."""
+    t = F.col("transaction_type")
+    return tx.filter(t.isNotNull()).groupBy("id_user").agg(
+        *[(F.count_if(t == x) / F.count(t)).alias(f"tx_type_{x}_rate") for x in types])
 
 
 def registration_time_features(users: DataFrame) -> DataFrame:

@@ -114,8 +114,10 @@ def q_importance(spark, sf_dir):
 def q_predictions(spark, sf_dir):
     tr, te = _prepared(spark, sf_dir)
     cols = select_features(tr, te)
-    model = fit_gbt(model_matrix(tr, cols), maxIter=REGISTRY_GBT_ITERATIONS)
-    return predict_labels(model, model_matrix(te, cols, keep=("id_user",)), 0.49)
+    m = model_matrix(tr, cols)
+    swept = best_threshold(threshold_sweep(oof_predict(m, maxIter=REGISTRY_GBT_ITERATIONS))).first()["best_threshold"]
+    model = fit_gbt(m, maxIter=REGISTRY_GBT_ITERATIONS)
+    return predict_labels(model, model_matrix(te, cols, keep=("id_user",)), swept)
 
 
 @query("m09_pipeline_metrics")

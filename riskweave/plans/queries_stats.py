@@ -123,12 +123,12 @@ def q_describe_cat(spark, sf_dir):
 @query("a36_histogram", f"""
 SELECT * FROM (WITH d AS (SELECT is_fraud, ln(1 + amount) AS v FROM {MERGED} WHERE amount IS NOT NULL),
 r AS (SELECT is_fraud, min(v) AS lo, max(v) AS hi, count(*) AS n FROM d GROUP BY 1),
-b AS (SELECT d.is_fraud, r.lo, r.hi, r.n,
-        CAST(CASE WHEN r.hi = r.lo THEN 0 ELSE least(floor((d.v - r.lo) / ((r.hi - r.lo) / 100)), 99) END AS INTEGER) AS bin
-      FROM d JOIN r ON d.is_fraud = r.is_fraud)
-SELECT is_fraud, bin, lo + bin * ((hi - lo) / 100) AS bin_lo, lo + (bin + 1) * ((hi - lo) / 100) AS bin_hi,
-       count(*) AS count, count(*) / (n * ((hi - lo) / 100)) AS density
-FROM b GROUP BY is_fraud, bin, lo, hi, n) AS y""")
+g AS (SELECT is_fraud, n, i AS bin, CASE WHEN hi = lo THEN lo - 0.5 ELSE lo END AS lo, CASE WHEN hi = lo THEN hi + 0.5 ELSE hi END AS hi
+      FROM r CROSS JOIN range(100) AS t(i)),
+e AS (SELECT *, lo + bin * ((hi - lo) / 100) AS bin_lo, lo + (bin + 1) * ((hi - lo) / 100) AS bin_hi FROM g)
+SELECT e.is_fraud, bin, bin_lo, bin_hi, count(d.v) AS count, count(d.v) / (e.n * ((e.hi - e.lo) / 100)) AS density
+FROM e LEFT JOIN d ON d.is_fraud = e.is_fraud AND (d.v >= bin_lo OR bin = 0) AND (d.v < bin_hi OR bin = 99)
+GROUP BY e.is_fraud, bin, bin_lo, bin_hi, e.n, e.hi, e.lo) AS y""")
 def q_histogram(spark, sf_dir):
     return S.histogram(merged(fixture(spark, sf_dir)), "amount", 100, by="is_fraud")
 
@@ -210,23 +210,23 @@ def report_frame(fx):
     share_cols = [c for c in shares.columns if c != "id_user"]
     return (feats.withColumn("time_to_first_transaction", time_to_first(clip=False, floor_seconds=True))
             .join(registration_time_features(fx.users).drop("reg_dayofweek", "reg_is_weekend"), "id_user")
-            .join(shares, "id_user", "left").fillna(0.0, subset=share_cols)
-            .filter(F.col("tx_count") > 0))
+            .join(shares, "id_user", "left").fillna(0.0, subset=share_cols))
 
 
 def _report_sql() -> str:
     cast = ", ".join(f'CAST("{f}" AS DOUBLE) AS "{f}"' for f in REPORT_FEATURES)
     on = ", ".join(f'"{f}"' for f in REPORT_FEATURES)
     shares = ", ".join(
-        f"coalesce(avg(CASE WHEN transaction_type = '{t}' THEN 1.0 ELSE 0.0 END), 0) AS \"tx_type_{t}_rate\""
+        f"avg(CASE WHEN transaction_type = '{t}' THEN 1.0 ELSE 0.0 END) AS \"tx_type_{t}_rate\""
         for t in ["resign", "card_recurring", "apple-pay", "google-pay"])
+    share_cols = ", ".join(f'coalesce(s."tx_type_{t}_rate", 0) AS "tx_type_{t}_rate"'
+                           for t in ["resign", "card_recurring", "apple-pay", "google-pay"])
     return f"""
 SELECT * FROM (WITH fz AS (
   SELECT f.* REPLACE (f.time_to_first_transaction_eda AS time_to_first_transaction),
-         hour(f.timestamp_reg) AS reg_hour, CAST(hour(f.timestamp_reg) < 6 AS INTEGER) AS reg_is_night, s.*
+         hour(f.timestamp_reg) AS reg_hour, CAST(hour(f.timestamp_reg) < 6 AS INTEGER) AS reg_is_night, {share_cols}
   FROM feat f LEFT JOIN (SELECT id_user AS sid, {shares} FROM transactions
-                         WHERE transaction_type IS NOT NULL GROUP BY 1) s ON f.id_user = s.sid
-  WHERE f.tx_count > 0),
+                         WHERE transaction_type IS NOT NULL GROUP BY 1) s ON f.id_user = s.sid),
 l AS (UNPIVOT (SELECT is_fraud, {cast} FROM fz) ON {on} INTO NAME feature VALUE value),
 r AS (SELECT feature, value, is_fraud, rank() OVER (PARTITION BY feature ORDER BY value) AS rk,
              count(*) OVER (PARTITION BY feature, value) AS ties FROM l),
@@ -277,9 +277,9 @@ def q_distinct(spark, sf_dir):
 
 
 @query("p16_sample_first", """
-SELECT id_user, is_fraud FROM users ORDER BY md5(CAST(id_user AS VARCHAR)), id_user LIMIT 50""")
+SELECT id_user, is_fraud FROM users ORDER BY md5(CAST(id_user AS VARCHAR)), id_user LIMIT 50000""")
 def q_sample(spark, sf_dir):
-    return S.sample_first(fixture(spark, sf_dir).users, 50, "id_user").select("id_user", "is_fraud")
+    return S.sample_first(fixture(spark, sf_dir).users, 50_000, "id_user").select("id_user", "is_fraud")
 
 
 @query("s09_profile_schema", f"""

@@ -2,16 +2,8 @@
 import numpy as np
 import pytest
 
-from riskweave.operators import knn as knn_mod
 from riskweave.operators.anomaly import lof
-from riskweave.operators.knn import knn_stats
-
-
-@pytest.fixture(params=["broadcast", "band_join"])
-def path(request, monkeypatch):
-    if request.param == "band_join":
-        monkeypatch.setattr(knn_mod, "BROADCAST_MAX_VECTORS", 0)
-    return request.param
+from riskweave.operators.knn import collapse, knn_distances, knn_stats
 
 
 def _data(spark, n=300, d=3, seed=1):
@@ -31,7 +23,7 @@ def _brute(Q, B, k, exclude_self=False):
     return np.sort(D, axis=1)[:, :k]
 
 
-def test_knn_train_mode(spark, path):
+def test_knn_train_mode(spark):
     X, cols, df = _data(spark)
     got = {r.id_user: (r.knn_avg_dist, r.knn_max_dist, r.knn_5th_dist)
            for r in knn_stats(df, df, cols, k=10).collect()}
@@ -42,7 +34,7 @@ def test_knn_train_mode(spark, path):
         assert got[i][2] == pytest.approx(ref[i][4], abs=1e-9)
 
 
-def test_knn_query_mode(spark, path):
+def test_knn_query_mode(spark):
     X, cols, df = _data(spark)
     Xq, _, dq = _data(spark, n=50, seed=7)
     got = {r.id_user: r.knn_avg_dist for r in knn_stats(dq, df, cols, k=10).collect()}
@@ -64,7 +56,7 @@ def _lof_numpy(X, k):
     return lrd[order].mean(1) / lrd
 
 
-def test_lof_matches_numpy(spark, path):
+def test_lof_matches_numpy(spark):
     X, cols, df = _data(spark, n=200)
     got = {r.id_user: (r.lof_score, r.lof_label) for r in lof(df, cols, k=20).collect()}
     ref = _lof_numpy(X, 20)
@@ -72,3 +64,19 @@ def test_lof_matches_numpy(spark, path):
         assert got[i][0] == pytest.approx(ref[i], rel=1e-9)
     thr = np.percentile(-ref, 3.8)
     assert sum(1 for v in got.values() if v[1] == -1) == int((-ref < thr).sum())
+
+
+def test_near_tied_distances_keep_k_neighbours(spark):
+    base = [-1.0000000000002, 1.0000000000001] + [float(x) for x in range(5, 45)]
+    b = spark.createDataFrame([(i, x) for i, x in enumerate(base)], "id long, x0 double")
+    q = spark.createDataFrame([(0, 0.0)], "id long, x0 double")
+    row = knn_stats(q, b, ["x0"], k=2, kth=2).first()
+    assert row.knn_avg_dist == pytest.approx(1.00000000000015, abs=1e-13)
+    assert row.knn_2th_dist == pytest.approx(1.0000000000002, abs=1e-13)
+
+
+@pytest.mark.parametrize("buckets", [None, 40])
+def test_every_query_takes_k_copies(spark, buckets):
+    X, cols, df = _data(spark, n=400, d=2, seed=3)
+    nb = knn_distances(collapse(df, cols).select("v"), collapse(df, cols), 2, 10, n_buckets=buckets)
+    assert {r.n for r in nb.groupBy("v").agg({"take": "sum"}).withColumnRenamed("sum(take)", "n").collect()} == {10}
