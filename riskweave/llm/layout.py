@@ -72,6 +72,10 @@ class Layout:
         release(work)
         self.blocks = work.spark.table(self.table)
 
+    def drop(self) -> None:
+        """Delete the blocks, once nothing reads them any more."""
+        self.work.drop(self.work.path("blocks"))
+
     def close(self) -> None:
         self.work.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
 
