@@ -58,7 +58,7 @@ class Work:
         target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
     def _write(self, df: DataFrame, path: str) -> DataFrame:
-        df.write.mode("error").parquet(path)
+        df.write.mode("error").option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def cut(self, df: DataFrame, name: str) -> DataFrame:

@@ -82,6 +82,8 @@ class Layout:
 
 def release(work: Work) -> None:
     """Let the driver drop the shuffle files of plans that are done."""
-    gc.collect()
-    work.spark.sparkContext._jvm.System.gc()
-    time.sleep(0.5)                                           # the cleaner works beside the driver
+    # plans go with the first collection, the shuffles they held with the second; the cleaner works beside the driver
+    for _ in range(2):
+        gc.collect()
+        work.spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)

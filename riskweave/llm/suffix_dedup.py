@@ -89,6 +89,11 @@ def covered(lens: np.ndarray, repeats: np.ndarray) -> np.ndarray:
     return np.cumsum(edge)[:n] > 0
 
 
+def _steps(places: np.ndarray) -> bytes:
+    """Ascending places as their differences (small numbers, which compress)."""
+    return np.diff(places, prepend=0).astype("<u4").tobytes()
+
+
 def _elements(block: int, hashes: np.ndarray, checks: np.ndarray | None, places: np.ndarray, buckets: int, passes: int,
               turn: int, all_ties: bool) -> Iterator[tuple]:
     """Rows of ``_ELEMENT``: the block's first of each string by bucket; under bucket -1 the places that are
@@ -108,7 +113,7 @@ def _elements(block: int, hashes: np.ndarray, checks: np.ndarray | None, places:
     if all_ties:
         known[:-1] |= same[1:]
     if known.any():
-        yield -1, block, block, b"", b"", np.sort(places[order[known]]).astype("<u4").tobytes()
+        yield -1, block, block, b"", b"", _steps(np.sort(places[order[known]]))
     first = np.sort(order[~same])
     bucket = (dealt[first] // np.uint64(passes) % np.uint64(buckets)).astype(np.uint16)
     by = np.argsort(bucket, kind="stable")
@@ -152,13 +157,13 @@ def _ties(group: pa.Table, width: str, all_ties: bool) -> pa.Table:
     cuts = np.flatnonzero(np.diff(owner)) + 1
     runs = np.split(found, cuts) if len(found) else []
     return pa.table({"block": pa.array([int(blocks[whose[r[0]]]) for r in runs], pa.int64()),
-                     "offsets": pa.array([offsets[r].tobytes() for r in runs], pa.binary())})
+                     "offsets": pa.array([_steps(offsets[r].astype(np.int64)) for r in runs], pa.binary())})
 
 
 def _marks(batch: pa.RecordBatch, row: int) -> np.ndarray:
     """The places collected for a block."""
     got = batch.column("marks")[row].as_py() or []
-    return np.concatenate([np.frombuffer(x, "<u4") for x in got]).astype(np.int64) if got else np.zeros(0, np.int64)
+    return np.concatenate([np.cumsum(np.frombuffer(x, "<u4"), dtype=np.int64) for x in got]) if got else np.zeros(0, np.int64)
 
 
 def _tied_samples(blocks: DataFrame, buckets: int) -> DataFrame:
