@@ -49,7 +49,7 @@ SAMPLE = LENGTH - MODULUS + 1
 #: Bytes of one bucket's shuffled elements, about.
 BUCKET_BYTES = 24 << 20
 #: Bytes a pass shuffles, as a share of the text's bytes.
-PASS_SHARE = 0.8
+PASS_SHARE = 1.2
 
 _IN_COVER = np.zeros(MODULUS, bool)
 _IN_COVER[list(COVER)] = True
