@@ -22,7 +22,6 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +35,7 @@ from .common import Work, text_blocks, text_or_empty
 
 #: Ids of a block (a longer document makes a block of its own).
 BLOCK_IDS = 1 << 18
-#: Distinct chunks a Python worker remembers.
+#: Distinct chunks a Python worker remembers, besides those of the block at hand.
 CACHE_CHUNKS = 600_000
 
 MAGIC = b"RWT1"
@@ -47,10 +46,14 @@ _CHUNK = re.compile(r"\s*\S+|\s+")
 _ODD_SPACE = "\x1c\x1d\x1e\x1f"
 
 
-class ChunkEncoder(dict):
-    """Encodes texts with a byte-level BPE of the tokenizers library: chunk (a
-    word with the white space before it) to its little-endian uint32 ids, kept
-    for the worker's life while there is room."""
+class ChunkEncoder:
+    """Encodes texts with a byte-level BPE of the tokenizers library.
+
+    ``known`` maps a chunk (a word with the white space before it) to its
+    little-endian uint32 ids.  It lives as long as the worker and starts anew
+    when it holds over ``CACHE_CHUNKS``.  The chunks that a block of texts adds
+    are encoded together, a line each, and told apart by the line feed's id.
+    """
 
     def __init__(self, tokenizer_path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -58,24 +61,47 @@ class ChunkEncoder(dict):
 
         tokenizer = Tokenizer.from_file(tokenizer_path)
         self.encode = getattr(tokenizer, "encode_batch_fast", tokenizer.encode_batch)
+        self.line_feed = self.ids(["\n"])[0]
+        self.known: dict[str, bytes] = {}
+
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.encode(texts, add_special_tokens=False)]
 
-    def __missing__(self, chunk: str) -> bytes:
+    def learn(self, chunks: set[str]) -> None:
+        """Enter ``chunks``, none of them known, in ``known``."""
         # a stop or comma after a letter is a token run of its own: the rest is looked up without it
-        if chunk[-1:] in (".", ",") and chunk[-2:-1].isalpha() and chunk[-2] < "\u0250":
-            ids = self[chunk[:-1]] + self[chunk[-1]]
-        else:
-            ids = array("I", self.encode([chunk], add_special_tokens=False)[0].ids).tobytes()
-        if len(self) < CACHE_CHUNKS:
-            self[chunk] = ids
-        return ids
+        marked = [c for c in chunks if c[-1] in ".," and c[-2:-1].isalpha() and c[-2] < "\u0250"]
+        whole = (chunks.difference(marked) | {c[:-1] for c in marked} | {c[-1] for c in marked}) - self.known.keys()
+        lines = [c for c in whole if not c[c[0] == " ":][:1].isspace() and c != " "]
+        ids = self.ids(["\n".join(lines)])[0]
+        cuts = np.flatnonzero(ids == self.line_feed) if len(self.line_feed) == 1 else ids
+        if len(cuts) == len(lines) - 1:
+            raw, ends = ids.tobytes(), [*(4 * cuts).tolist(), 4 * len(ids)]
+            start = 0
+            for c, end in zip(lines, ends, strict=True):
+                self.known[c] = raw[start:end]
+                start = end + 4
+            whole.difference_update(lines)
+        # chunks of several spaces, and all where a tokenizer's lines can't be told apart
+        rest = list(whole)
+        self.known.update(zip(rest, (x.tobytes() for x in self.ids(rest)), strict=True))
+        self.known.update((c, self.known[c[:-1]] + self.known[c[-1]]) for c in marked)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text."""
-        get = self.__getitem__
-        out = [b"" if any(c in t for c in _ODD_SPACE) else b"".join(map(get, _CHUNK.findall(t))) for t in texts]
+        if len(self.known) > CACHE_CHUNKS:
+            self.known.clear()
         odd = [k for k, t in enumerate(texts) if any(c in t for c in _ODD_SPACE)]
-        for k, e in zip(odd, self.encode([texts[k] for k in odd], add_special_tokens=False), strict=True):
-            out[k] = array("I", e.ids).tobytes()
+        chunks = [_CHUNK.findall(t) for t in texts]
+        for k in odd:
+            chunks[k] = []
+        new = set().union(*chunks) - self.known.keys()
+        if new:
+            self.learn(new)
+        get = self.known.__getitem__
+        out = [b"".join(map(get, c)) for c in chunks]
+        for k, x in zip(odd, self.ids([texts[k] for k in odd]), strict=True):
+            out[k] = x.tobytes()
         return out
 
 
