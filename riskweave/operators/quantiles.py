@@ -3,15 +3,19 @@
 ``percentile()`` keeps every distinct value of a group in one aggregation
 buffer.  ``exact_quantiles`` instead (1) asks ``percentile_approx`` for a
 value bracket around each target rank, (2) counts the rows below the bracket
-and (3) ranks only the rows inside it (about 4/accuracy of the group), then
+and (3) ranks only the distinct values inside it by their running counts, then
 interpolates linearly between the order statistics at floor/ceil of
 p * (n - 1), exactly like numpy/pandas and ``percentile``.  A bracket that
 misses is widened and retried.
+
+The bracket holds about 4/accuracy of the group's rows besides the ties of its
+values; equal values are counted before the shuffle, so that a value which
+most rows share is one row of the window.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -20,9 +24,10 @@ def exact_quantiles(df: DataFrame, col: str, probs, by: list[str] | None = None,
     """One row per group with ``q0, q1, ...`` (one column per prob) and ``n``.
 
     ``by`` is meant for a low-cardinality key (a label, a handful of feature
-    names): the bracket table (groups x probs rows) is broadcast and the
-    result is collected.  Per-entity quantiles belong in a grouped plan such
-    as ``user_aggs.amount_profile``.
+    names): the result (groups x probs rows) is collected.  Per-entity
+    quantiles belong in a grouped plan such as ``user_aggs.amount_profile``.
+    Nulls and NaN are left out.  A group without a value gives no row; without
+    ``by`` a column without a value gives one row, n = 0 and null quantiles.
     """
     by = list(by or [])
     if not by:
@@ -48,23 +53,27 @@ def exact_quantiles(df: DataFrame, col: str, probs, by: list[str] | None = None,
               .withColumn("pos", F.col("p") * (F.col("n") - 1))
               .withColumn("r0", F.floor("pos").cast("long"))
               .withColumn("r1", F.ceil("pos").cast("long")))
-        # bounded: groups x targets rows
-        j = x.join(F.broadcast(br), by)
-        below = j.groupBy(*by, "j").agg(F.count_if(F.col("_x") < F.col("lo")).alias("below"),
-                                        F.count_if((F.col("_x") >= F.col("lo")) & (F.col("_x") <= F.col("hi")))
-                                        .alias("inside"))
-        inb = j.filter((F.col("_x") >= F.col("lo")) & (F.col("_x") <= F.col("hi")))
-        w = Window.partitionBy(*by, "j").orderBy("_x")
-        ranked = (inb.withColumn("_r", F.row_number().over(w) - 1)
-                  .join(below, [*by, "j"])
-                  .withColumn("rank", F.col("below") + F.col("_r")))
-        picked = ranked.groupBy(*by, "j", "p", "pos", "r0", "r1", "below", "inside").agg(
-            F.max(F.when(F.col("rank") == F.col("r0"), F.col("_x"))).alias("v0"),
-            F.max(F.when(F.col("rank") == F.col("r1"), F.col("_x"))).alias("v1"))
+        j = x.join(br, by)
+        inside = (F.col("_x") >= F.col("lo")) & (F.col("_x") <= F.col("hi"))
+        below = j.groupBy(*by, "j").agg(F.count_if(F.col("_x") < F.col("lo")).alias("below"))
+        values = j.filter(inside).groupBy(*by, "j", "p", "pos", "r0", "r1", "_x").agg(F.count(F.lit(1)).alias("_n"))
+        w = Window.partitionBy(*by, "j").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        ranked = (values.withColumn("_run", F.sum("_n").over(w)).join(below, [*by, "j"])
+                  .withColumn("end", F.col("below") + F.col("_run"))
+                  .withColumn("start", F.col("end") - F.col("_n")))
+
+        def order_stat(rank: str) -> Column:
+            return F.max(F.when((F.col("start") <= F.col(rank)) & (F.col(rank) < F.col("end")), F.col("_x")))
+
+        picked = ranked.groupBy(*by, "j", "p", "pos", "r0", "r1").agg(order_stat("r0").alias("v0"),
+                                                                      order_stat("r1").alias("v1"))
         got = picked.withColumn("q", F.col("v0") + (F.col("v1") - F.col("v0")) * (F.col("pos") - F.col("r0")))
         rows = got.join(br.select(*by, "j", "n"), [*by, "j"]).select(
             *by, "j", "q", "n", F.col("v0").isNotNull() & F.col("v1").isNotNull()).collect()
-        # the collected table is groups x targets (tiny)
+        # the collected table is groups x targets (tiny); it is empty only where no group has a value
+        if not rows:
+            result, todo = {i: {} for i in range(len(probs))}, []
+            break
         ok = {}
         for r in rows:
             counts[tuple(r[b] for b in by)] = r["n"]
@@ -81,7 +90,7 @@ def exact_quantiles(df: DataFrame, col: str, probs, by: list[str] | None = None,
     if todo:
         raise RuntimeError("exact_quantiles: bracket did not converge")
     spark = df.sparkSession
-    groups = sorted({k for d in result.values() for k in d})
+    groups = sorted({k for d in result.values() for k in d}) or [(0,)] * (by == ["_all"])
     data = [(*g, counts.get(g, 0), *[result[i].get(g) for i in range(len(probs))]) for g in groups]
     schema = ", ".join([f"`{b}` {t}" for b, t in _types(x, by)] + ["n long"] + [f"q{i} double" for i in range(len(probs))])
     out = spark.createDataFrame(data, schema)

@@ -78,10 +78,12 @@ def describe_num(df: DataFrame, c: str, by: str | None = None) -> DataFrame:
     keys = [by] if by else []
     aggs = [F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
             F.min(x).alias("min"), F.max(x).alias("max")]
+    if by:
+        df = df.filter(F.col(by).isNotNull())
     g = df.groupBy(*keys).agg(*aggs)
     q = exact_quantiles(df, c, QUARTILES, by=keys).drop("n")
-    out = g.join(F.broadcast(q), keys) if keys else g.withColumn("_k", F.lit(0)).join(
-        F.broadcast(q.withColumn("_k", F.lit(0))), "_k")
+    # a class without a value keeps its row: count 0, null quartiles
+    out = g.join(q, keys, "left") if keys else g.withColumn("_k", F.lit(0)).join(q.withColumn("_k", F.lit(0)), "_k")
     return out.select(*keys, "count", "mean", "std", "min", F.col("q0").alias("p25"), F.col("q1").alias("p50"),
                       F.col("q2").alias("p75"), "max")
 
@@ -132,7 +134,7 @@ def box_stats(df: DataFrame, c: str, by: str | None = None, whis: float = 1.5) -
     q = exact_quantiles(d, c, QUARTILES, by=keys)
     q = q.select(*keys, "n", F.col("q0").alias("q1"), F.col("q1").alias("median"),
                  F.col("q2").alias("q3")).withColumn("iqr", F.col("q3") - F.col("q1"))
-    j = d.join(F.broadcast(q), keys)
+    j = d.join(q, keys)
     lo = F.col("q1") - whis * F.col("iqr")
     hi = F.col("q3") + whis * F.col("iqr")
     x = F.col(c)

@@ -2,10 +2,13 @@
 import datetime as dt
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import make_tx, make_users
+from riskweave.operators.quantiles import exact_quantiles
+from riskweave.operators.stats import describe_num
 from riskweave.operators.anomaly import robust_fit
 from riskweave.operators.association import _cells, chi2_from_cells
 from riskweave.operators.encode import target_encode_apply
@@ -136,3 +139,24 @@ def test_median_from_amount_counts_matches_numpy(spark):
     users = [{"id_user": u} for u in want]
     got = {u: f["amount_median"] for u, f in feats(spark, rows, users).items()}
     assert got == want
+
+
+@pytest.mark.parametrize("tied", [0.0, 0.5, 0.9, 1.0])
+def test_exact_quantiles_with_ties(spark, tied):
+    rng = np.random.default_rng(5)
+    x = np.where(rng.random(3000) < tied, 0.0, np.round(rng.normal(size=3000), 2))
+    g = np.arange(3000) % 3
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
+    df = spark.createDataFrame([(int(a), float(b)) for a, b in zip(g, x, strict=True)] + [(7, None)], "g int, x double")
+    got = {r["g"]: [r[f"q{i}"] for i in range(len(probs))] for r in exact_quantiles(df, "x", probs, by=["g"], accuracy=200).collect()}
+    assert sorted(got) == [0, 1, 2]
+    for k, q in got.items():
+        assert np.allclose(q, np.quantile(x[g == k], probs), rtol=0, atol=1e-12)
+
+
+def test_quantiles_of_a_column_without_values(spark):
+    df = spark.createDataFrame([(1, None), (2, None), (2, 3.0)], "g int, x double")
+    none = exact_quantiles(df.filter("g = 1"), "x", [0.5]).collect()
+    assert [(r["n"], r["q0"]) for r in none] == [(0, None)]
+    by = {r["g"]: (r["count"], r["p50"]) for r in describe_num(df, "x", by="g").collect()}
+    assert by == {1: (0, None), 2: (1, 3.0)}
