@@ -315,6 +315,50 @@ def test_planted_passages_share_a_class(spark, edges, empty):
     assert compact_windows.passage_classes(empty).count() == 0
 
 
+def classes_of(spark, pairs, others=()):
+    """class_id of each text of each pair of word lists, with other texts beside them."""
+    rows = [" ".join(w) for pair in pairs for w in pair] + [" ".join(w) for w in others]
+    got = compact_windows.passage_classes(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()
+    at = {r["doc_id"]: r["class_id"] for r in got}
+    return [(at[2 * k], at[2 * k + 1]) for k in range(len(pairs))]
+
+
+def jaccard(a, b):
+    a, b = ({tuple(w[k:k + 5]) for k in range(len(w) - 4)} for w in (a, b))
+    return len(a & b) / len(a | b)
+
+
+def test_replaced_words_keep_a_passage_together(spark):
+    rng = random.Random(11)
+    pairs = []
+    for n in range(60, 101, 2):
+        for edits in (1, 2):
+            if edits == 2 and n < 96:
+                continue
+            a = [f"v{rng.randrange(10**9)}" for _ in range(n)]
+            b = a.copy()
+            for k in range(edits):
+                b[n * (k + 1) // (edits + 1)] = f"new{k}x{n}"
+            assert jaccard(a, b) >= 0.8
+            pairs.append((a, b))
+    got = classes_of(spark, pairs)
+    assert sum(x == y for x, y in got) >= 0.9 * len(pairs) and len({x for x, _ in got}) == len(pairs)
+
+
+def test_longest_stretch_equals_brute_force():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        equal = rng.random(int(rng.integers(1, 90))) < 0.9
+        one, want = np.ones(len(equal), np.int64), 0
+        for s in range(len(equal)):
+            for e in range(s + 20, len(equal) + 1):
+                m = int(equal[s:e].sum())
+                if 10 * m >= 8 * (2 * (e - s) - m):
+                    want = max(want, e - s)
+        got = compact_windows.longest_stretch(9 * equal - 8, one, one, 20)
+        assert (got[1] - got[0] if got else 0) == want
+
+
 # ------------------------------------------------------------------ 7 suffix dedup
 
 def brute_removed(rows):
