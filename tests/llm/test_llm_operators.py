@@ -359,6 +359,21 @@ def test_longest_stretch_equals_brute_force():
         assert (got[1] - got[0] if got else 0) == want
 
 
+def test_passages_beside_a_frequent_line_meet(spark):
+    rng = random.Random(12)
+
+    def fresh(n):
+        return [f"u{rng.randrange(10**9)}" for _ in range(n)]
+
+    line = fresh(40)
+    pairs, others = [], [line + fresh(60) for _ in range(240)]
+    for _ in range(30):
+        own = fresh(14)
+        pairs.append(tuple(fresh(30) + line + own + fresh(30) for _ in range(2)))
+    got = classes_of(spark, pairs, others)
+    assert sum(x == y for x, y in got) >= 0.8 * len(pairs) and len({x for x, _ in got}) == len(pairs)
+
+
 # ------------------------------------------------------------------ 7 suffix dedup
 
 def brute_removed(rows):
