@@ -374,6 +374,42 @@ def test_passages_beside_a_frequent_line_meet(spark):
     assert sum(x == y for x, y in got) >= 0.8 * len(pairs) and len({x for x, _ in got}) == len(pairs)
 
 
+def test_inserted_and_deleted_words_keep_a_passage_together(spark):
+    rng = random.Random(13)
+    pairs = []
+    for n in range(60, 100, 2):
+        a = [f"i{rng.randrange(10**9)}" for _ in range(n)]
+        pairs += [(a, [*a[:n // 2], f"in{n}", *a[n // 2:]])]
+        a = [f"d{rng.randrange(10**9)}" for _ in range(n)]
+        pairs += [(a, a[:n // 2] + a[n // 2 + 1:])]
+        assert min(jaccard(*p) for p in pairs[-2:]) >= 0.8
+    got = classes_of(spark, pairs)
+    assert sum(x == y for x, y in got) >= 0.9 * len(pairs) and len({x for x, _ in got}) == len(pairs)
+
+
+def test_similar_spans():
+    rng = np.random.default_rng(5)
+
+    def fresh(n):
+        return rng.integers(0, 1 << 32, n).astype("<u4")
+
+    def spans(x, y, shift=0, itself=False):
+        return compact_windows.similar_spans(x, y, shift, itself)
+
+    a = fresh(46)
+    assert spans(a, a) == (0, 46, 0, 46, 46) and spans(a[:45], a[:45]) is None and spans(a, fresh(46)) is None
+    assert spans(np.r_[fresh(1), a[1:]], a) == (0, 46, 0, 46, 45)                   # an edit at the end counts to its length
+    b = np.r_[a[:23], fresh(9), a[23:]]
+    assert spans(a, b) == (0, 46, 0, 55, 46) and spans(a, np.r_[a[:23], fresh(12), a[23:]]) is None
+    long = fresh(300)
+    got = spans(np.r_[fresh(80), long, fresh(50)], np.r_[fresh(20), long[:150], fresh(5), long[150:], fresh(200)])
+    assert got[0] <= 80 and got[1] >= 380 and got[2] <= 20 and got[3] >= 325 and got[4] == 300
+    assert got[4] >= 0.8 * (got[1] - got[0] + got[3] - got[2] - got[4])
+    assert spans(np.r_[a[23:], a[:23]], a) == (0, 46, 0, 46, 46)                    # the Jaccard knows no order
+    twice = np.r_[a, a, a[:20]]
+    assert spans(twice, twice[46:], -46, True)[4] == 66 and spans(long, long[10:], 0, True) is None
+
+
 # ------------------------------------------------------------------ 7 suffix dedup
 
 def brute_removed(rows):
