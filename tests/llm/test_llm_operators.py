@@ -261,6 +261,27 @@ def test_leaks_found(spark, edges, empty):
     assert decontamination.find_leaks(edges, bench.limit(0)).count() == 0
 
 
+def test_long_items_are_found(spark):
+    rng = random.Random(16)
+    vocabulary = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 8))) for _ in range(3000)]
+    items = [" ".join(rng.choices(vocabulary, k=n)) + "." for n in (65, 100, 129, 200, 500) for _ in range(4)]
+    rows, planted = [], set()
+    for i in range(120):
+        words = rng.choices(vocabulary, k=rng.randint(20, 900))
+        if i % 3 == 0:
+            own = items[i // 3 % 20].split()
+            if i % 2:
+                own = [w for k, w in enumerate(own) if k % 13] if i % 4 == 1 else ["other" if k % 13 == 5 else w for k, w in enumerate(own)]
+            at = rng.randint(0, len(words))
+            words[at:at] = own
+            planted.add((i, i // 3 % 20))
+        rows.append((i, " ".join(words)))
+    got = {(r["doc_id"], r["item_id"]) for r in decontamination.find_leaks(
+        spark.createDataFrame(rows, "doc_id long, text string"),
+        spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()}
+    assert len(got & planted) >= 0.95 * len(planted) and len(got - planted) <= 1
+
+
 def test_longest_common_subsequence():
     rng = random.Random(2)
     for _ in range(200):
