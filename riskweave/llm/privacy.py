@@ -26,6 +26,7 @@ gives no rows.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 from collections.abc import Iterator
@@ -45,7 +46,6 @@ WINDOW = 8
 SUPPORT = 3
 REMOVE = 0.95
 GENERALISE = 0.8
-MIN_TERM = 4
 BLOCK_TERMS = 200_000
 
 # fixed values: the patterns of the base entities.  Possessive quantifiers and the look-behind change no match
@@ -111,41 +111,55 @@ def terms(text: str) -> list[bytes]:
     return text.encode().translate(_FOLD).split()
 
 
-def contexts(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, bytes]]:
-    """Distinct (entity, context, term) of a text: the terms around each base span."""
-    out: dict[tuple[int, bytes], int] = {}
-    reach = WINDOW * 32
+def contexts(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, bytes, bool]]:
+    """Distinct (entity, context, term) of a text: the ``WINDOW`` words on either side of each base span, whole however long
+    they are; and whether it is the first of its entity and term here."""
+    if not spans:
+        return []
+    folded = text.encode().translate(_FOLD)
+    words = [m.span() for m in _TERM.finditer(folded)]
+    starts, ends = [a for a, _ in words], [b for _, b in words]
+    # places in bytes of the spans' ends
+    places, at, points = {}, 0, 0
+    for k in sorted({k for start, _, end in spans for k in (start, end)}):
+        at += len(text[points:k].encode())
+        points, places[k] = k, at
+    out: dict[tuple[int, int, bytes], bool] = {}
+    known: set[tuple[int, bytes]] = set()
     for start, kind, end in spans:
-        # whole words of a stretch long enough for the window (longer words only make the window shorter)
-        before = terms(text[max(0, start - reach):start])[-WINDOW:]
-        after = terms(text[end:end + reach])[:WINDOW]
+        a, b = places[start], places[end]
+        # a word that the span cuts counts with what is outside
+        k, j = bisect.bisect_left(starts, a), bisect.bisect_right(ends, b)
+        before = [folded[s:min(e, a)] for s, e in words[max(0, k - WINDOW):k]]
+        after = [folded[max(s, b):e] for s, e in words[j:j + WINDOW]]
         entity = xxhash.xxh64_intdigest(f"{KINDS[kind]}:{text[start:end].lower()}") >> 1
         context = xxhash.xxh64_intdigest(b" ".join([*before, b"|", *after])) >> 1
         for t in (*before, *after):
-            if len(t) >= MIN_TERM:
-                out.setdefault((entity, t), context)
-    return [(e, c, t) for (e, t), c in out.items()]
+            if (entity, context, t) not in out:
+                out[entity, context, t] = (entity, t) not in known
+                known.add((entity, t))
+    return [(*key, first) for key, first in out.items()]
 
 
 def _scan(rows: DataFrame) -> DataFrame:
-    """(doc_id, mark, n_chars, spans, beside) per document: base spans, and (entity, context, term) around them."""
+    """(doc_id, mark, spans, beside) per document: base spans, and (entity, context, term, first) around them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())])
-        near = pa.struct([("entity", pa.int64()), ("context", pa.int64()), ("term", pa.binary())])
+        near = pa.struct([("entity", pa.int64()), ("context", pa.int64()), ("term", pa.binary()), ("first", pa.bool_())])
         for batch in batches:
             found, beside = [], []
             for text in batch.column("text"):
                 text = text.as_py()
                 spans = base_spans(text)
                 found.append([{"start": s, "kind": k, "end": e} for s, k, e in spans])
-                beside.append([{"entity": e, "context": c, "term": t} for e, c, t in contexts(text, spans)])
+                beside.append([{"entity": e, "context": c, "term": t, "first": f} for e, c, t, f in contexts(text, spans)])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("mark"), pa.array(found, pa.list_(span)),
                  pa.array(beside, pa.list_(near))], ["doc_id", "mark", "spans", "beside"])
 
     return rows.mapInArrow(run, "doc_id long, mark long, spans array<struct<start:long,kind:int,end:long>>, "
-                                "beside array<struct<entity:long,context:long,term:binary>>")
+                                "beside array<struct<entity:long,context:long,term:binary,first:boolean>>")
 
 
 def _blocks(terms_df: DataFrame, size: int) -> Iterator[list]:
@@ -200,8 +214,9 @@ def _occurrences(rows: DataFrame, block: list) -> DataFrame:
 def revealing_terms(work: Work, rows: DataFrame, scanned: DataFrame, block_terms: int = BLOCK_TERMS) -> DataFrame:
     """(term, kind, disclosure): terms to generalise (kind 4) or remove (kind 5)."""
     total = scanned.count()
-    beside = scanned.select(F.explode("beside").alias("b")).select("b.entity", "b.context", "b.term")
-    once = beside.groupBy("term", "entity", "context").agg(F.count("*").alias("n"))
+    beside = scanned.select(F.explode("beside").alias("b")).select("b.entity", "b.context", "b.term", "b.first")
+    # support counts contexts, wherever they are; n_te counts documents: each has one first row of an entity and term
+    once = beside.groupBy("term", "entity", "context").agg(F.count_if("first").alias("n"))
     pairs = work.cut(once.groupBy("term", "entity").agg(F.count("*").alias("support"), F.sum("n").alias("n_te"))
                      .filter(F.col("support") >= SUPPORT), "pairs")
     entities = (scanned.select(F.array_distinct(F.transform("beside", lambda b: b["entity"])).alias("e"))

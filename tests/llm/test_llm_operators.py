@@ -229,6 +229,31 @@ def test_disclosing_terms(spark, edges, empty):
     assert privacy.find_private(empty).count() == 0
 
 
+def test_short_terms_and_contexts_of_one_document_disclose(spark):
+    rng = random.Random(18)
+    filler = "lorem ipsum dolor sit amet consectetur adipiscing elit sed eiusmod tempor incididunt".split()
+
+    def some(n):
+        return " ".join(rng.choices(filler, k=n))
+
+    rows = [(i, some(12)) for i in range(300)]
+    rows += [(300 + i, f"{some(6)} Lee calls +44 20 7946 0958 {some(4)}") for i in range(50)]
+    rows += [(400, "; ".join(f"{some(9)} Silverfox writes jane@mail.example {some(9)}" for _ in range(10)))]
+    rows += [(500, "Lee alone"), (501, some(5))]
+    got = {r["doc_id"]: r["spans"] for r in privacy.find_private(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [(s["start"], s["kind"], s["end"]) for s in got[500]] in ([(0, 4, 3)], [(0, 5, 3)]) and not got[501]
+    assert sum(rows[350][1][s["start"]:s["end"]] == "Silverfox" for s in got[400]) == 10
+
+
+def test_contexts_take_whole_words():
+    text = "z " + "x" * 300 + " é7 " + "名" * 200 + ",a@b.example,Ann " + "y" * 400 + " b"
+    spans = privacy.base_spans(text)
+    got = {t.decode() for _, _, t, _ in privacy.contexts(text, spans)}
+    assert got == {"z", "x" * 300, "é7", "名" * 200, "ann", "y" * 400, "b"}
+    one = privacy.contexts("k a@b.example l; m a@b.example l", [(2, 0, 13), (19, 0, 30)])
+    assert len({c for _, c, _, _ in one}) == 2 and sum(first for _, _, t, first in one if t == b"l") == 1
+
+
 def test_term_blocks_change_nothing(spark, docs):
     one = sorted(map(str, privacy.digest_spans(privacy.find_private(docs)).collect()))
     assert one == sorted(map(str, privacy.digest_spans(privacy.find_private(docs, block_terms=3)).collect()))
