@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, compact_windows, decontamination, digest_index, mixing, privacy, resampling, simhash, suffix_dedup, token_files
+from . import (chat, compact_windows, decontamination, digest_index, filter_audit, hard_negatives, line_dedup, mixing, privacy,
+               resampling, simhash, suffix_dedup, token_files)
 from .common import Work, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,5 +117,84 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+@query("""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '') AS part FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^ \\t\\n\\x0B\\f\\r]+') AS words,
+             length(regexp_replace(text, '[^A-Z]', '', 'g')) AS capitals FROM t),
+firsts AS (SELECT text, min(doc_id) AS first_id FROM t GROUP BY text),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+      FROM labels GROUP BY doc_id),
+d AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+             {'A': len(words) < 200, 'B': 100 * len(list_distinct(words)) < 50 * len(words),
+              'C': 100 * capitals > 2 * length(w.text), 'D': regexp_matches(w.text, '[#$%&*|]'),
+              'E': first_id IS NOT NULL AND (doc_id IS NULL OR doc_id > first_id)} AS fails
+      FROM w JOIN firsts USING (text) LEFT JOIN l USING (doc_id)),
+m AS (SELECT part, (CASE WHEN fails['A'] THEN 'A' ELSE '' END) || (CASE WHEN fails['B'] THEN 'B' ELSE '' END)
+             || (CASE WHEN fails['C'] THEN 'C' ELSE '' END) || (CASE WHEN fails['D'] THEN 'D' ELSE '' END)
+             || (CASE WHEN fails['E'] THEN 'E' ELSE '' END) AS mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic
+      FROM d GROUP BY ALL),
+f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+o AS (SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM f a, f b, f c, f d, f e
+      WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+s AS (SELECT filter_order, step, substr(filter_order, step, 1) AS f, substr(filter_order, 1, step - 1) AS before
+      FROM o, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+r AS (SELECT part, filter_order, step, f,
+             CAST(sum(CASE WHEN translate(mask, before || f, '') = mask THEN n ELSE 0 END) AS BIGINT) AS kept,
+             CAST(sum(CASE WHEN contains(mask, f) AND translate(mask, before, '') = mask THEN n ELSE 0 END) AS BIGINT) AS removed,
+             CAST(sum(CASE WHEN contains(mask, f) AND translate(mask, before, '') <> mask THEN n ELSE 0 END) AS BIGINT) AS redundant,
+             CAST(sum(CASE WHEN mask = f THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+             CAST(sum(CASE WHEN contains(mask, f) AND translate(mask, before, '') = mask THEN good ELSE 0 END) AS BIGINT) AS good_lost,
+             CAST(sum(CASE WHEN contains(mask, f) AND translate(mask, before, '') = mask THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost
+      FROM m, s GROUP BY part, filter_order, step, f)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley FROM r
+""")
+def op11_filter_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with Work(spark, "op11") as work:
+        names, counts = filter_audit.failure_counts(work, documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+        return work.result(filter_audit.audit(names, counts, spark))
+
+
+@query("""
+WITH e AS (
+  SELECT row_number() OVER () AS row, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT a.row, a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+             CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+      FROM e a JOIN e b ON a.row <> b.row WHERE a.vec_id % 100 = 0),
+p AS (SELECT row, anchor_id, other_id AS positive_id, score AS positive_score,
+             row_number() OVER (PARTITION BY row ORDER BY score DESC, other_id NULLS LAST) AS positive_rank
+      FROM s WHERE same QUALIFY positive_rank <= 5)
+SELECT anchor_id, positive_id, CAST(positive_rank AS INTEGER) AS positive_rank,
+       CAST(row_number() OVER (PARTITION BY row, positive_rank ORDER BY score DESC, other_id NULLS LAST) AS INTEGER) AS rank,
+       other_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN (SELECT row, other_id, score FROM s WHERE NOT same) USING (row)
+WHERE 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score QUALIFY rank <= 5
+""")
+def op12_residue_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(documents(spark, sf_dir, "embeddings"), label=shifted)
+
+
+@query("""
+WITH t AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents),
+lines AS (SELECT row, doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS place FROM t),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+often AS (SELECT key, max(doc_id) AS keep_id FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+j AS (SELECT row, doc_id, line, place, keep_id IS NOT NULL AND (doc_id IS NULL OR doc_id <> keep_id) AS gone
+      FROM k LEFT JOIN often USING (key))
+SELECT doc_id, count(*) AS n_lines, CAST(sum(CAST(gone AS INTEGER)) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
+FROM j GROUP BY row, doc_id
+""")
+def op13_bloom_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with Work(spark, "op13") as work:
+        kept = line_dedup.dedup_lines(work, documents(spark, sf_dir))
+        return work.result(kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256")))
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
