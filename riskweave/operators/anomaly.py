@@ -2,7 +2,7 @@
 
 G7 robust scaling fits exact quartiles in one aggregate (3 scalars per
 column) and applies them as literals.  G11 LOF is built on the exact KNN join
-(``knn.knn_distances``) with joins and aggregates only.  G10 Isolation Forest
+(``knn.TrainNeighbours``) with joins and aggregates only.  G10 Isolation Forest
 builds each tree from a 256-row sample in ``applyInPandas`` (one group per
 tree), collects the forest (bounded: trees x at most 511 nodes) and scores all
 rows with a vectorised ``mapInPandas``.
@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from ..session import cut_lineage
 from .quantiles import exact_quantiles
-from .knn import collapse, knn_distances, vector_col
+from .knn import TrainNeighbours, vector_col
 
 # Fixed values from the reference: the anomaly feature subset (14 columns).
 ANOMALY_FEATURES = [
@@ -28,6 +28,14 @@ ANOMALY_FEATURES = [
     "tx_count", "fail_status_coefficient", "countries_per_tx", "amount_sum", "amount_range",
     "min_time_between_tx", "max_consecutive_fails", "max_hourly_burst", "unique_amounts_per_tx",
 ]
+# Fixed values from the reference: the exploratory notebook's anomaly feature set (23 columns).
+EDA_ANOMALY_FEATURES = [
+    "errors_x_cards", "holders_x_cards", "unique_card_holders", "unique_error_types", "unique_cards_per_user",
+    "tx_count", "fail_status_coefficient", "countries_per_tx", "min_time_between_tx", "amount_sum",
+    "unique_card_brands", "unique_card_types", "country_CP_missmatch_coef", "error_antifraud_rate",
+    "errors_per_tx", "country_CReg_missmatch", "fraud_error_count", "holders_per_card",
+    "fraud_error_rate", "tx_type_card_init_rate", "error_3ds_error_rate", "holders_per_tx", "amount_range",
+]
 CONTAMINATION = 0.038
 LRD_EPS = 1e-10
 
@@ -64,26 +72,26 @@ def robust_scale(train: DataFrame, test: DataFrame | None, cols, suffix: str = "
     return robust_apply(train, p, suffix), (robust_apply(test, p, suffix) if test is not None else None)
 
 
-def lof(df: DataFrame, cols, k: int = 20, contamination: float = CONTAMINATION) -> DataFrame:
+def lof(df: DataFrame, cols, k: int = 20, contamination: float = CONTAMINATION,
+        neighbours: TrainNeighbours | None = None) -> DataFrame:
     """Local Outlier Factor of every row (self excluded, duplicates
     counted), ``lof_score`` (= -negative_outlier_factor) and ``lof_label``
-    (-1 for the ``contamination`` share with the lowest negative factor)."""
-    d = len(cols)
-    base = collapse(df, cols)
-    nb = knn_distances(base.select("v"), base, d, k, exclude_self=True)
-    kd = nb.groupBy("v").agg(F.max("dist").alias("kd"))
-    reach = (nb.join(kd.withColumnRenamed("v", "nv").withColumnRenamed("kd", "nkd"), "nv")
+    (-1 for the ``contamination`` share with the lowest negative factor).
+
+    ``neighbours``: the table of ``df``'s vectors, at least ``k`` + 1 deep, if it is at hand."""
+    near = neighbours or TrainNeighbours(df, cols, k + 1)
+    nb = cut_lineage(near.taken(k, exclude_self=True))
+    kd = nb.groupBy("id").agg(F.max("dist").alias("kd"))
+    reach = (nb.join(kd.withColumnRenamed("id", "nid").withColumnRenamed("kd", "nkd"), "nid")
              .withColumn("reach", F.greatest("nkd", "dist")))
-    lrd = reach.groupBy("v").agg(
-        (1.0 / (F.sum(F.col("take") * F.col("reach")) / F.lit(float(k)) + F.lit(LRD_EPS))).alias("lrd"))
-    ratio = (nb.join(lrd.withColumnRenamed("v", "nv").withColumnRenamed("lrd", "nlrd"), "nv")
-             .groupBy("v").agg((F.sum(F.col("take") * F.col("nlrd")) / F.lit(float(k))).alias("_mean_nlrd")))
-    score = cut_lineage(ratio.join(lrd, "v").join(base, "v")
-                        .withColumn("lof_score", F.col("_mean_nlrd") / F.col("lrd")))
+    lrd = cut_lineage(reach.groupBy("id").agg(
+        (1.0 / (F.sum(F.col("take") * F.col("reach")) / F.lit(float(k)) + F.lit(LRD_EPS))).alias("lrd")))
+    ratio = (nb.join(lrd.withColumnRenamed("id", "nid").withColumnRenamed("lrd", "nlrd"), "nid")
+             .groupBy("id").agg((F.sum(F.col("take") * F.col("nlrd")) / F.lit(float(k))).alias("_mean_nlrd")))
+    score = ratio.join(lrd, "id").select("id", (F.col("_mean_nlrd") / F.col("lrd")).alias("lof_score"))
     # every row gets its vector's score; the offset is an exact quantile over
     # those rows (= the multiplicity-weighted quantile over distinct vectors)
-    rows = cut_lineage(df.withColumn("v", vector_col(cols))
-                       .join(score.select("v", "lof_score"), "v", "left").drop("v"))
+    rows = cut_lineage(near.attach(score, df))
     offset = exact_quantiles(rows.select((-F.col("lof_score")).alias("nof")), "nof",
                              [float(contamination)]).first()["q0"]
     return rows.withColumn("lof_label", F.when(F.col("lof_score").isNull(), F.lit(None).cast("int"))

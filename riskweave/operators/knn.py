@@ -1,166 +1,110 @@
-"""Exact k-nearest-neighbour join without a cross join (inventory J6, G8, G9).
-
-1. Collapse: equal vectors become one row with a multiplicity ``m``.
-2. Project each vector on a fixed unit direction ``w``; since
-   |w.(x - q)| <= ||x - q||, every neighbour within radius r of q lies in the
-   band |s(x) - s(q)| <= r.
-3. Candidate radius: the base vectors ranked near q in projection order
-   (same projection bucket, +-k ranks, found by an equi-join on
-   (bucket, rank)) carry at least k copies; the distance at which their
-   copies reach k is an upper bound r_q of q's k-th neighbour distance.
-4. Exact pass: q joins every base vector in the projection buckets that
-   overlap [s(q) - r_q, s(q) + r_q] (buckets are approximate quantiles, a
-   bounded broadcast list), keeps d <= r_q and takes the k nearest copies.
-
-Queries and base are hash-partitioned on the bucket, so a popular region
-spreads by AQE skew handling; a query meets the vectors of the buckets its
-band overlaps, about 8 (k + 1) each.  Ties at
-equal distance are broken by the vector itself (lexicographic), so the
-choice is deterministic.
+"""k-nearest-neighbour joins (inventory J6, G8, G9) on the metric partition of ``neighbours``.
+
+Equal vectors collapse to one row with a multiplicity; the search runs over
+distinct vectors, and a query takes copies of the nearest ones until it has k.
+One neighbour table, as deep as the deepest user needs, serves every statistic
+built on it (mean, max and k-th distance; the local outlier factor).
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .neighbours import MAX_CELLS, neighbour_table, take_copies
+
+#: Cells that an approximate search visits for each query.
+PROBES = 8
 
 
 def vector_col(cols) -> F.Column:
     return F.array(*[F.col(c).cast("double") for c in cols])
 
 
-def _dist(a: str, b: str, d: int) -> F.Column:
-    acc = None
-    for i in range(d):
-        t = F.pow(F.col(a)[i] - F.col(b)[i], 2)
-        acc = t if acc is None else acc + t
-    return F.sqrt(acc)
+def collapse(df: DataFrame, cols) -> DataFrame:
+    """Distinct vectors with multiplicity ``m``."""
+    return df.select(vector_col(cols).alias("v")).groupBy("v").agg(F.count(F.lit(1)).alias("m"))
 
 
-def _proj(v: str, d: int) -> F.Column:
-    w = 1.0 / math.sqrt(d)
-    acc = None
-    for i in range(d):
-        t = F.col(v)[i] * F.lit(w)
-        acc = t if acc is None else acc + t
-    return acc
+def numbered(collapsed: DataFrame) -> DataFrame:
+    """(id, v, m), written: ids ascend with the vectors."""
+    return cut_lineage(collapsed.repartitionByRange("v").sortWithinPartitions("v")
+                       .withColumn("id", F.monotonically_increasing_id()))
 
 
-def collapse(df: DataFrame, cols) -> DataFrame:
-    """Distinct vectors with multiplicity ``m``."""
-    return df.select(vector_col(cols).alias("v")).groupBy("v").agg(F.count(F.lit(1)).alias("m"))
+def query_ids(queries: DataFrame, base: DataFrame) -> DataFrame:
+    """(id, v) of the distinct query vectors, written: the base's id where the base has the vector, else a negative one."""
+    own = queries.select("v").distinct().join(base.select("v", "id"), "v", "left")
+    return cut_lineage(own.withColumn("id", F.coalesce("id", -1 - F.monotonically_increasing_id())))
 
 
 def knn_distances(queries: DataFrame, base: DataFrame, d: int, k: int, exclude_self: bool = False,
                   n_buckets: int | None = None, base_is_written: bool = False) -> DataFrame:
     """Per distinct query vector ``v``: the k nearest base copies as rows
-    (v, nv, dist, take) where ``take`` copies of base vector ``nv`` are used.
+    (v, nv, dist, take, first_copy) where ``take`` copies of base vector ``nv`` are used.
 
-    ``queries``: (v); ``base``: (v, m).  A query equal to a base vector sees
-    that vector's copies at distance 0 (minus one copy with ``exclude_self``).
+    ``queries``: (v); ``base``: (v, m), or (id, v, m) as ``numbered`` writes it (``base_is_written``).  A query
+    equal to a base vector sees that vector's copies at distance 0 (minus one copy with ``exclude_self``).
+    ``n_buckets``: cells of the partition, by size if None.
     """
-    if not base_is_written:
-        base = cut_lineage(base)             # reused by every pass below
-    n_distinct = base.count()
-    if n_buckets is None:
-        n_buckets = max(1, n_distinct // (8 * (k + 1)))
-    b = base.withColumn("s", _proj("v", d))
-    q = queries.select("v").distinct().withColumn("s", _proj("v", d))
-    if n_buckets > 1:
-        probs = [i / n_buckets for i in range(1, n_buckets)]
-        bounds = b.agg(F.percentile_approx("s", probs, max(10000, 4 * n_buckets)).alias("bounds")).first()["bounds"]
-        bounds = sorted(set(float(x) for x in bounds))
-    else:
-        bounds = []
-    barr = F.array(*[F.lit(x) for x in bounds]) if bounds else F.array().cast("array<double>")
-
-    def bucket_of(col):
-        return F.size(F.filter(barr, lambda x: x < col)) if bounds else F.lit(0)
-
-    b = b.withColumn("bk", bucket_of(F.col("s")))
-    q = q.withColumn("bk", bucket_of(F.col("s")))
-    wb = Window.partitionBy("bk").orderBy("s", "v")
-    b = cut_lineage(b.withColumn("rk", F.row_number().over(wb)))
-    q = cut_lineage(q)
-    # position of each query among its bucket's base vectors (count with s' < s, or equal and v' <= v)
-    marked = (b.select("bk", "s", "v", F.lit(1).alias("is_base"))
-              .unionByName(q.select("bk", "s", "v", F.lit(0).alias("is_base"))))
-    wm = Window.partitionBy("bk").orderBy("s", "v", F.desc("is_base")).rowsBetween(Window.unboundedPreceding, 0)
-    pos = (marked.withColumn("pos", F.sum("is_base").over(wm))
-           .filter(F.col("is_base") == 0).select("bk", "v", "pos"))
-    # candidate ranks pos-k .. pos+k within the bucket (an equi-join on (bk, rk))
-    cand_keys = pos.withColumn("rk", F.explode(F.sequence(F.col("pos") - k, F.col("pos") + k))).filter("rk >= 1")
-    cand = (cand_keys.join(b.select("bk", "rk", F.col("v").alias("nv"), "m"), ["bk", "rk"])
-            .withColumn("dist", _dist("v", "nv", d)))
-    cand = _self_adjust(cand, exclude_self)
-    radius = cut_lineage(q.join(_radius(cand, k), "v", "left"))
-    # a bucket with too few copies: the distance to any k copies is an upper bound too, so k fixed rows
-    # serve; a base of fewer than k copies is taken whole
-    anchors = b.orderBy("s", "v").limit(k + 1).select(F.col("v").alias("nv"), "m")
-    far = _self_adjust(radius.filter("r is null").select("v").crossJoin(F.broadcast(anchors))
-                       .withColumn("dist", _dist("v", "nv", d)), exclude_self)
-    qb = (radius.join(_radius(far, k).withColumnRenamed("r", "far"), "v", "left")
-          .withColumn("r", F.coalesce("r", "far", F.lit(float("inf")))).drop("far"))
-    # exact band pass
-    lo, hi = F.col("s") - F.col("r"), F.col("s") + F.col("r")
-    qb = qb.withColumn("bk", F.explode(F.sequence(bucket_of(lo), bucket_of(hi))))
-    pairs = (qb.join(b.select("bk", F.col("v").alias("nv"), F.col("s").alias("ns"), "m"), "bk")
-             .filter(F.abs(F.col("ns") - F.col("s")) <= F.col("r"))
-             .withColumn("dist", _dist("v", "nv", d))
-             .filter(F.col("dist") <= F.col("r")))
-    pairs = _self_adjust(pairs, exclude_self)
-    w = Window.partitionBy("v").orderBy(F.round("dist", 9), "nv")
-    top = pairs.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k)
-    top = top.withColumn("_cum", F.sum("m").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    take = F.least(F.col("m"), F.greatest(F.lit(0), F.lit(k) - (F.col("_cum") - F.col("m"))))
-    return (top.withColumn("take", take).filter(F.col("take") > 0)
-            .withColumn("first_copy", F.col("_cum") - F.col("m") + 1)
+    base = base if base_is_written else numbered(base)
+    q = query_ids(queries, base)
+    found = take_copies(neighbour_table(base, d, k + exclude_self, queries=q, cells=n_buckets), k, exclude_self)
+    return (found.join(q, "id").join(base.select(F.col("id").alias("nid"), F.col("v").alias("nv")), "nid")
             .select("v", "nv", "dist", "take", "first_copy"))
 
 
-def _self_adjust(pairs: DataFrame, exclude_self: bool) -> DataFrame:
-    if not exclude_self:
-        return pairs
-    same = F.col("v") == F.col("nv")
-    return pairs.withColumn("m", F.when(same, F.col("m") - 1).otherwise(F.col("m"))).filter(F.col("m") > 0)
-
-
-def _radius(cand: DataFrame, k: int) -> DataFrame:
-    """(v, r): a radius that holds every copy the ordering can put among the k nearest.
-
-    Neighbours are ordered by distance rounded to 9 places, then by vector,
-    so the k-th copy may be nearer in rounded and farther in raw distance than
-    another: the radius is the largest raw distance among the copies up to k,
-    plus the rounding.
-    """
-    w = Window.partitionBy("v").orderBy(F.round("dist", 9), "nv")
-    c = (cand.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k)
-         .withColumn("_cum", F.sum("m").over(w.rowsBetween(Window.unboundedPreceding, 0))))
-    return (c.filter(F.col("_cum") - F.col("m") < k).groupBy("v")
-            .agg(F.max("dist").alias("r"), F.max("_cum").alias("_have")).filter(F.col("_have") >= k)
-            .select("v", (F.col("r") * (1 + 1e-12) + 2e-9).alias("r")))
+def distance_stats(taken: DataFrame, k: int, kth: int = 5, prefix: str = "knn") -> DataFrame:
+    """G8/G9 by query id: mean, max and ``kth`` distance of the k copies taken."""
+    return taken.groupBy("id").agg(
+        (F.sum(F.col("dist") * F.col("take")) / F.lit(float(k))).alias(f"{prefix}_avg_dist"),
+        F.max("dist").alias(f"{prefix}_max_dist"),
+        F.max(F.when((F.col("first_copy") <= kth) & (F.col("first_copy") + F.col("take") > kth),
+                     F.col("dist"))).alias(f"{prefix}_{kth}th_dist"))
 
 
-def knn_stats(queries: DataFrame, base: DataFrame | None, cols, k: int = 10, exclude_self: bool = False,
-              kth: int = 5, prefix: str = "knn", collapsed: DataFrame | None = None) -> DataFrame:
+def knn_stats(queries: DataFrame, base: DataFrame, cols, k: int = 10, exclude_self: bool = False,
+              kth: int = 5, prefix: str = "knn", mode: str = "exact", probes: int = PROBES) -> DataFrame:
     """Per query row, mean, max and ``kth`` distance to its k nearest
     base rows (train rows include themselves at distance 0).
 
-    ``collapsed``: the base already collapsed and written (``collapse`` +
-    ``cut_lineage``), to share one base between several query sets."""
+    ``mode`` "approximate" visits the ``probes`` cells nearest to a query, of about as many cells as the square
+    root of the distinct base vectors; no distance is then below the exact one."""
+    if mode not in ("exact", "approximate"):
+        raise ValueError(f"mode {mode!r}")
     d = len(cols)
+    numbers = numbered(collapse(base, cols))
     qv = queries.withColumn("v", vector_col(cols))
-    if collapsed is None:
-        nb = knn_distances(qv.select("v"), collapse(base, cols), d, k, exclude_self)
-    else:
-        nb = knn_distances(qv.select("v"), collapsed, d, k, exclude_self, base_is_written=True)
-    stats = nb.groupBy("v").agg(
-        (F.sum(F.col("dist") * F.col("take")) / F.lit(float(k))).alias(f"{prefix}_avg_dist"),
-        F.max("dist").alias(f"{prefix}_max_dist"),
-        F.max(F.when((F.col("first_copy") <= kth) & (F.col("first_copy") + F.col("take") > kth),
-                     F.col("dist"))).alias(f"{prefix}_{kth}th_dist"))
-    return qv.join(stats, "v", "left").drop("v")
+    ids = query_ids(qv, numbers)
+    near = None if mode == "exact" else probes
+    cells = None if mode == "exact" else min(MAX_CELLS, math.isqrt(numbers.count()) + 1)
+    found = neighbour_table(numbers, d, k + exclude_self, queries=ids, cells=cells, probes=near)
+    stats = distance_stats(take_copies(found, k, exclude_self), k, kth, prefix)
+    return qv.join(ids.join(stats, "id").drop("id"), "v", "left").drop("v")
+
+
+class TrainNeighbours:
+    """The neighbour table of a training table among itself, made once for every score built on it.
+
+    ``depth`` distinct neighbours of each distinct vector, its own included; ``attach`` joins per-vector values to rows."""
+
+    def __init__(self, df: DataFrame, cols, depth: int):
+        self.df, self.cols, self.depth = df, cols, depth
+        self.base = numbered(collapse(df, cols))
+        self.found = neighbour_table(self.base, len(cols), depth)
+
+    def taken(self, k: int, exclude_self: bool) -> DataFrame:
+        if k + exclude_self > self.depth:
+            raise ValueError(f"{k} neighbours asked of a table that is {self.depth} deep")
+        return take_copies(self.found, k, exclude_self)
+
+    def attach(self, values: DataFrame, df: DataFrame | None = None) -> DataFrame:
+        """Rows of ``df`` (the training rows) with the columns of ``values`` (id, ...)."""
+        rows = (self.df if df is None else df).withColumn("v", vector_col(self.cols))
+        return rows.join(self.base.select("v", "id").join(values, "id").drop("id"), "v", "left").drop("v")
+
+    def stats(self, k: int = 10, kth: int = 5, prefix: str = "knn", df: DataFrame | None = None) -> DataFrame:
+        return self.attach(distance_stats(self.taken(k, False), k, kth, prefix), df)

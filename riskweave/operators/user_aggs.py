@@ -59,7 +59,7 @@ def distinct_counts(tx: DataFrame) -> DataFrame:
 
 def row_grain_aggregates(tx: DataFrame, error_groups=ALL_ERROR_GROUPS) -> DataFrame:
     """A1-A9, A11, A12, A14 (first time), A16, A24, A26 per user (the median
-    comes from ``amount_profile``, the main holder from ``main_holder``)."""
+    comes from ``amount_median``, the main holder from ``main_holder``)."""
     aggs = [
         F.count(F.lit(1)).alias("tx_count"),
         F.avg("amount").alias("amount_mean"),
@@ -100,43 +100,70 @@ def hourly_burst(tx: DataFrame) -> DataFrame:
     return per_hour.groupBy("id_user").agg(F.max("n").alias("max_hourly_burst"))
 
 
-def amount_profile(tx: DataFrame) -> DataFrame:
-    """A2 median, A15, A22, A23 from (user, amount) counts.
+#: Bins per doubling of an amount: what ``amount_bin`` tells apart.
+BINS_PER_OCTAVE = 64
 
-    entropy (nats) = ln(N) - sum(n ln n)/N over non-null amounts;
-    mode concentration = largest non-null count / all rows (nulls included);
-    median = linear interpolation between the order statistics at
-    floor/ceil(0.5 (N - 1)), found from running counts over the user's
-    distinct amounts (a sorted, spillable window over at most one row per
-    distinct amount, instead of ``median``'s in-memory map of a whole group).
+
+def amount_bin(c: str = "amount") -> Column:
+    """A number that never falls as the amount grows: its sign and ``BINS_PER_OCTAVE`` steps per doubling.
+
+    All doubles fall into some 270,000 bins, so what is counted per (user, bin) is bounded whatever the rows are."""
+    x = F.col(c)
+
+    def steps(v: Column) -> Column:
+        return F.floor(F.least(F.log2(v) * BINS_PER_OCTAVE, F.lit(70_000.0))) + 100_000
+
+    return (F.when(F.isnan(x), F.lit(300_000)).when(x > 0, steps(x)).when(x < 0, -steps(-x)).otherwise(F.lit(0))).cast("long")
+
+
+def _amount_counts(tx: DataFrame) -> DataFrame:
+    return tx.groupBy("id_user", "amount").agg(F.count(F.lit(1)).alias("n"))
+
+
+def amount_median(tx: DataFrame) -> DataFrame:
+    """A2 median: linear interpolation between the order statistics at floor/ceil of 0.5 (N - 1).
+
+    A radix selection: the user's rows are counted per amount bin, the bins that hold the two ranks are found by
+    running counts over at most a bounded number of bins, and only these bins' distinct amounts are
+    ranked, each bin in a window of its own.  No window holds all amounts of a user.
     """
-    per_amount = tx.groupBy("id_user", "amount").agg(F.count(F.lit(1)).alias("n"))
-    nn = F.col("amount").isNotNull()
-    n = F.col("n").cast("double")
+    per_amount = _amount_counts(tx.filter(F.col("amount").isNotNull())).withColumn("_bin", amount_bin())
     by_user = Window.partitionBy("id_user")
-    run = by_user.orderBy("amount").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cnt = F.when(nn, F.col("n")).otherwise(0)
-    ranked = (per_amount
-              .withColumn("_end", F.sum(cnt).over(run))
-              .withColumn("_pos", (F.sum(cnt).over(by_user) - 1) * 0.5)
-              .withColumn("_start", F.col("_end") - cnt))
+    run = by_user.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    bins = (per_amount.groupBy("id_user", "_bin").agg(F.sum("n").alias("_in"))
+            .withColumn("_start", F.coalesce(F.sum("_in").over(run), F.lit(0)))
+            .withColumn("_pos", (F.sum("_in").over(by_user) - 1) * 0.5))
+    r0, r1 = F.floor("_pos"), F.ceil("_pos")
+    end = F.col("_start") + F.col("_in")
+    held = bins.filter(((F.col("_start") <= r0) & (r0 < end)) | ((F.col("_start") <= r1) & (r1 < end)))
+    order = Window.partitionBy("id_user", "_bin").orderBy("amount").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = (per_amount.join(held.drop("_in"), ["id_user", "_bin"])
+              .withColumn("_end", F.col("_start") + F.sum("n").over(order)))
 
     def order_stat(r: Column) -> Column:
-        return F.max(F.when(nn & (F.col("_start") <= r) & (r < F.col("_end")), F.col("amount")))
+        return F.max(F.when((F.col("_end") - F.col("n") <= r) & (r < F.col("_end")), F.col("amount")))
+
+    two = ranked.groupBy("id_user").agg(order_stat(r0).alias("_v0"), order_stat(r1).alias("_v1"), F.first("_pos").alias("_p"))
+    return two.select("id_user", (F.col("_v0") + (F.col("_v1") - F.col("_v0")) * (F.col("_p") - F.floor("_p"))).alias("amount_median"))
+
+
+def amount_profile(tx: DataFrame) -> DataFrame:
+    """A15, A22, A23 from (user, amount) counts, which reach the user as partial sums.
 
-    prof = ranked.groupBy("id_user").agg(
+    entropy (nats) = ln(N) - sum(n ln n)/N over non-null amounts;
+    mode concentration = largest non-null count / all rows (nulls included).
+    """
+    nn = F.col("amount").isNotNull()
+    n = F.col("n").cast("double")
+    prof = _amount_counts(tx).groupBy("id_user").agg(
         F.sum("n").alias("_rows"),
         F.sum(F.when(nn, n)).alias("_nn"),
         F.sum(F.when(nn, n * F.ln(n))).alias("_nlogn"),
         F.max(F.when(nn, F.col("n"))).alias("_top"),
         F.count(F.when(nn, F.lit(1))).alias("unique_amounts"),
-        F.first("_pos").alias("_p"),
-        order_stat(F.floor("_pos")).alias("_v0"),
-        order_stat(F.ceil("_pos")).alias("_v1"),
     )
     return prof.select(
         "id_user", "unique_amounts",
-        (F.col("_v0") + (F.col("_v1") - F.col("_v0")) * (F.col("_p") - F.floor("_p"))).alias("amount_median"),
         F.coalesce(F.ln("_nn") - F.col("_nlogn") / F.col("_nn"), F.lit(0.0)).alias("amount_entropy"),
         (F.col("_top") / F.col("_rows")).alias("amount_mode_concentration"),
     )

@@ -3,6 +3,7 @@
 users --+-- left join row-grain aggregates   (groupBy id_user)
         +-- left join hourly burst           (groupBy id_user, hour -> id_user)
         +-- left join amount profile         (groupBy id_user, amount -> id_user)
+        +-- left join amount median          (groupBy id_user, bin -> the bins of two ranks -> id_user)
         +-- left join card/registration mismatch (groupBy id_user, country ⋈ users)
         +-- left join sequences              (segmented windows, stitched)
         +-- left join card rollups           (edges ⋈ card stats -> id_user)
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from ..functions.exprs import email_domain, email_local, name_in_email
 from ..operators.cards import card_rollups
 from ..operators.sequences import HOUR_US, user_sequences
-from ..operators.user_aggs import (ZERO_FILL, amount_profile, card_reg_mismatch, hourly_burst,
+from ..operators.user_aggs import (ZERO_FILL, amount_median, amount_profile, card_reg_mismatch, hourly_burst,
                                    interactions, main_holder, per_tx_ratios, row_grain_aggregates, time_to_first)
 
 SEQ_ZERO_FILL = ["max_consecutive_fails", "first_tx_failed", "fails_before_first_success",
@@ -59,6 +60,7 @@ def build_features(users: DataFrame, tx: DataFrame, tiebreak=("id_tx",),
     branches = [
         lambda: row_grain_aggregates(tx),
         lambda: amount_profile(tx),
+        lambda: amount_median(tx),
         lambda: main_holder(tx),
         lambda: card_reg_mismatch(tx, users),
         lambda: user_sequences(tx, tiebreak=tiebreak, segment_us=segment_us, with_burst=burst_in_seq),

@@ -19,9 +19,9 @@ from ..operators.encode import target_encode_columns
 from ..operators.evaluate import best_threshold, classification_report, f1_at, threshold_sweep
 from ..operators.folds import assign_folds
 from ..operators.graph_oof import graph_features_apply, graph_features_oof
-from ..operators.knn import collapse, knn_stats
-from ..operators.model import (cv_f1, feature_importance, fit_gbt, model_matrix, oof_predict,
-                               predict_labels, select_features)
+from ..operators.knn import knn_stats
+from ..operators.boosting import Boosted, boosted_importance, boosted_labels, boosted_oof, fit_boosted
+from ..operators.model import cv_f1, select_features
 from ..operators.stats import class_balance
 from ..session import cut_lineage, ensure_utc
 from ..sources.io import Config, metrics_table, publish, write_metrics, write_predictions
@@ -47,43 +47,45 @@ class PipelineResult:
 
 def prepare(train_users, train_tx, test_users, test_tx, seed: int = 42):
     """Feature tables for train (with folds, encodings, graph, KNN) and test."""
-    tr = cut_lineage(build_features(train_users, train_tx))
-    te = cut_lineage(build_features(test_users, test_tx))
-    tr = assign_folds(tr, seed=seed)
+    f_tr = cut_lineage(build_features(train_users, train_tx))
+    f_te = cut_lineage(build_features(test_users, test_tx))
+    tr, te = assign_folds(f_tr, seed=seed), f_te
     tr, te = target_encode_columns(tr, te, ENC_COLS)
     g_tr = graph_features_oof(train_users.join(tr.select("id_user", "fold"), "id_user"), train_tx)
     g_te = graph_features_apply(train_users, train_tx, test_users, test_tx)
     tr = tr.join(g_tr.drop("fold"), "id_user", "left")
     te = te.join(g_te, "id_user", "left")
-    p = robust_fit(tr, ANOMALY_FEATURES)
-    tr_s = cut_lineage(robust_apply(tr.select("id_user", *ANOMALY_FEATURES), p))
-    te_s = robust_apply(te.select("id_user", *ANOMALY_FEATURES), p)
-    base = cut_lineage(collapse(tr_s, ANOMALY_FEATURES))      # one training base for both sides
-    k_tr = knn_stats(tr_s, None, ANOMALY_FEATURES, k=10, collapsed=base).select("id_user", "knn_avg_dist")
-    k_te = knn_stats(te_s, None, ANOMALY_FEATURES, k=10, collapsed=base).select("id_user", "knn_avg_dist")
+    p = robust_fit(f_tr, ANOMALY_FEATURES)
+    tr_s = cut_lineage(robust_apply(f_tr.select("id_user", *ANOMALY_FEATURES), p))
+    te_s = robust_apply(f_te.select("id_user", *ANOMALY_FEATURES), p)
+    # one search for both sides against the training rows
+    both = tr_s.withColumn("_train", F.lit(True)).unionByName(te_s.withColumn("_train", F.lit(False)))
+    near = cut_lineage(knn_stats(both, tr_s, ANOMALY_FEATURES, k=10).select("id_user", "knn_avg_dist", "_train"))
+    k_tr, k_te = near.filter("_train").drop("_train"), near.filter("NOT _train").drop("_train")
     tr = cut_lineage(tr.join(k_tr, "id_user", "left"))
     te = cut_lineage(te.join(k_te, "id_user", "left"))
     return tr, te
 
 
+def fit_models(tr: DataFrame, te: DataFrame, **boosting) -> tuple[Boosted, DataFrame]:
+    """The boosted models of the listed features and the out-of-fold scores of every training row, written."""
+    model, rows = fit_boosted(tr, select_features(tr, te), **boosting)
+    return model, cut_lineage(boosted_oof(model, rows).select("id_user", "is_fraud", "fold", "p"))
+
+
 def run_pipeline(spark: SparkSession, train_users, train_tx, test_users, test_tx,
                  cfg: Config | None = None, gbt_overrides: dict | None = None) -> PipelineResult:
     cfg = cfg or Config()
     ensure_utc(spark)
-    gbt = {"maxIter": cfg.gbt_iterations, "seed": cfg.seed, **(gbt_overrides or {})}
     tr, te = prepare(train_users, train_tx, test_users, test_tx, cfg.seed)
-    cols = select_features(tr, te)
-    m_tr = cut_lineage(model_matrix(tr, cols))
-    m_te = model_matrix(te, cols, keep=("id_user",))
-    oof = cut_lineage(oof_predict(m_tr, **gbt).select("id_user", "is_fraud", "fold", "p"))
+    model, oof = fit_models(tr, te, **{"n_estimators": cfg.gbt_iterations, "seed": cfg.seed, **(gbt_overrides or {})})
     cv = cv_f1(oof)
     sweep = threshold_sweep(oof)
     best = best_threshold(sweep)
     t = best.first()["best_threshold"]
     report = classification_report(oof, t)
-    model = fit_gbt(m_tr, **gbt)
-    importance = feature_importance(model, cols)
-    submission = predict_labels(model, m_te, t)
+    importance = boosted_importance(spark, model)
+    submission = boosted_labels(model, te, t)
     metrics = metrics_table(spark, best, class_balance(train_users))
     if cfg.output_dir:
         write_predictions(submission, f"{cfg.output_dir}/submission")

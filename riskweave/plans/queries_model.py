@@ -2,26 +2,22 @@
 predictions, pipeline metrics (M1-M9, L5), and scans (S1, S3, S4).
 
 Fixed-score queries (sweep, best threshold, report) score train users by
-``fail_status_coefficient`` so they are checkable by SQL; the GBT queries are
-rows-only (MLlib is not reproducible in SQL).  Registry GBT runs use
-``REGISTRY_GBT_ITERATIONS`` boosting rounds; the pipeline default is the
-reference's 400.
+``fail_status_coefficient`` so they are checkable by SQL; the boosting queries are
+rows-only (boosting has no SQL) and run the reference's 400 rounds.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.evaluate import best_threshold, classification_report, threshold_sweep
-from ..operators.model import cv_f1, feature_importance, fit_gbt, model_matrix, oof_predict, predict_labels, \
-    select_features
-from ..sources.io import Config, load_table, parse_ts, parse_ts_iso
+from ..operators.boosting import boosted_importance, boosted_labels, fit_boosted
+from ..operators.evaluate import best_threshold, classification_report, f1_at, threshold_sweep
+from ..operators.model import cv_f1, model_matrix, select_features
+from ..sources.io import load_table, parse_ts, parse_ts_iso
 from .features import build_features
-from .pipeline import prepare, run_pipeline
+from .pipeline import fit_models, prepare, run_pipeline
 from .registry import fixture, query
 
-REGISTRY_GBT_ITERATIONS = 10
-
 
 def _prepared(spark, sf_dir):
     fx = fixture(spark, sf_dir)
@@ -90,42 +86,38 @@ def q_matrix(spark, sf_dir):
 
 @query("m02_m04_oof_scores")
 def q_oof(spark, sf_dir):
-    tr, te = _prepared(spark, sf_dir)
-    m = model_matrix(tr, select_features(tr, te))
-    return oof_predict(m, maxIter=REGISTRY_GBT_ITERATIONS).select("id_user", "is_fraud", "fold", "p")
+    return fit_models(*_prepared(spark, sf_dir), with_final=False)[1]
 
 
 @query("m03_cv_f1")
 def q_cv(spark, sf_dir):
-    tr, te = _prepared(spark, sf_dir)
-    m = model_matrix(tr, select_features(tr, te))
-    return cv_f1(oof_predict(m, maxIter=REGISTRY_GBT_ITERATIONS))
+    return cv_f1(fit_models(*_prepared(spark, sf_dir), with_final=False)[1])
+
+
+# The reference prints F1 at the default cut beside the best one.
+@query("m05_default_f1")
+def q_default_f1(spark, sf_dir):
+    return f1_at(fit_models(*_prepared(spark, sf_dir), with_final=False)[1], 0.5)
 
 
 @query("m07_feature_importance")
 def q_importance(spark, sf_dir):
     tr, te = _prepared(spark, sf_dir)
-    cols = select_features(tr, te)
-    model = fit_gbt(model_matrix(tr, cols), maxIter=REGISTRY_GBT_ITERATIONS)
-    return feature_importance(model, cols, top=25)
+    model, _ = fit_boosted(tr, select_features(tr, te), with_folds=False)
+    return boosted_importance(spark, model, top=25)
 
 
 @query("m08_predictions")
 def q_predictions(spark, sf_dir):
     tr, te = _prepared(spark, sf_dir)
-    cols = select_features(tr, te)
-    m = model_matrix(tr, cols)
-    swept = best_threshold(threshold_sweep(oof_predict(m, maxIter=REGISTRY_GBT_ITERATIONS))).first()["best_threshold"]
-    model = fit_gbt(m, maxIter=REGISTRY_GBT_ITERATIONS)
-    return predict_labels(model, model_matrix(te, cols, keep=("id_user",)), swept)
+    model, oof = fit_models(tr, te)
+    return boosted_labels(model, te, best_threshold(threshold_sweep(oof)).first()["best_threshold"])
 
 
 @query("m09_pipeline_metrics")
 def q_pipeline(spark, sf_dir):
     fx = fixture(spark, sf_dir)
-    res = run_pipeline(spark, fx.train_users, fx.train_transactions, fx.test_users, fx.test_transactions,
-                       Config(gbt_iterations=REGISTRY_GBT_ITERATIONS))
-    return res.metrics
+    return run_pipeline(spark, fx.train_users, fx.train_transactions, fx.test_users, fx.test_transactions).metrics
 
 
 @query("s01_load_table", "SELECT * FROM customer")
