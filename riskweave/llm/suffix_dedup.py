@@ -115,7 +115,7 @@ def _elements(block: int, hashes: np.ndarray, checks: np.ndarray | None, places:
     if known.any():
         yield -1, block, block, b"", b"", _steps(np.sort(places[order[known]]))
     first = np.sort(order[~same])
-    bucket = (dealt[first] // np.uint64(passes) % np.uint64(buckets)).astype(np.uint16)
+    bucket = (dealt[first] // np.uint64(passes) % np.uint64(buckets)).astype(np.int32)
     by = np.argsort(bucket, kind="stable")
     first, bucket = first[by], bucket[by]
     cuts = np.flatnonzero(np.diff(bucket)) + 1
