@@ -1,8 +1,8 @@
 """Association statistics (inventory T1-T6, T8, W10).
 
 Contingency tables are long-form counts ``(pair, a, b, n)``; many column
-pairs are counted in one job by emitting, per input row, one (a, b) entry per
-requested pair and aggregating map-side.  chi-squared uses only observed
+pairs are counted in one job by emitting, per distinct tuple of values, one
+(a, b) entry per requested pair, weighted by the tuple's rows.  chi-squared uses only observed
 cells: sum (O-E)^2/E = sum O^2/E - N, and the 2x2 Yates form
 max(0, |O-E| - 0.5)^2 * N * (1/R1 + 1/R2) * (1/C1 + 1/C2) (|O-E| is equal in
 all four cells), so no cross product of margins is ever built.
@@ -13,18 +13,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.pvalues import chi2_sf_udf, corr_pvalue_udf
+from ..functions.pvalues import chi2_log10_udf, chi2_sf_udf, corr_log10_udf, corr_pvalue_udf
 from ..session import cut_lineage
 from .prefix import bucketed_prefix_sums
 
 
-def _cells(df: DataFrame, pairs: list[tuple[str, Column, Column]]) -> DataFrame:
-    """Counts per (pair, a, b); rows where a or b is NULL are dropped."""
-    arr = F.array(*[F.struct(F.lit(name).alias("pair"), a.cast("string").alias("a"), b.cast("string").alias("b"))
-                    for name, a, b in pairs])
-    e = df.select(F.explode(arr).alias("_c")).select("_c.*")
-    return (e.filter(F.col("a").isNotNull() & F.col("b").isNotNull())
-            .groupBy("pair", "a", "b").agg(F.count(F.lit(1)).alias("n")))
+def _cells(df: DataFrame, columns: list[Column], pairs: list[tuple[str, int, int]]) -> DataFrame:
+    """Counts per (pair, a, b) of the named pairs of ``columns``; rows where a or b is NULL are dropped.
+
+    Rows are counted by their whole tuple of values first; each tuple then adds its count to every pair, so what
+    is multiplied by the number of pairs is the tuples that occur, not the rows."""
+    names = [f"c{k}" for k in range(len(columns))]
+    tuples = (df.select(*[c.cast("string").alias(n) for c, n in zip(columns, names)]).groupBy(*names)
+              .agg(F.count(F.lit(1)).alias("n")))
+    arr = F.array(*[F.struct(F.lit(name).alias("pair"), F.col(names[i]).alias("a"), F.col(names[j]).alias("b")) for name, i, j in pairs])
+    return (tuples.select("n", F.explode(arr).alias("_c")).select("_c.*", "n")
+            .filter(F.col("a").isNotNull() & F.col("b").isNotNull())
+            .groupBy("pair", "a", "b").agg(F.sum("n").alias("n")))
 
 
 def chi2_from_cells(cells: DataFrame, yates: bool = True) -> DataFrame:
@@ -56,18 +61,19 @@ def chi2_from_cells(cells: DataFrame, yates: bool = True) -> DataFrame:
 
 def chi2_table(df: DataFrame, cols, y: str, yates: bool = True, with_p: bool = True) -> DataFrame:
     """Chi-squared test of independence of each column with ``y``."""
-    cells = _cells(df, [(c, F.col(c), F.col(y)) for c in cols])
+    cells = _cells(df, [F.col(c) for c in [*cols, y]], [(c, k, len(cols)) for k, c in enumerate(cols)])
     out = chi2_from_cells(cells, yates).withColumnRenamed("pair", "column")
     if with_p:
-        out = out.withColumn("p_value", chi2_sf_udf(F.col("chi2"), F.col("dof").cast("double")))
+        dof = F.col("dof").cast("double")
+        out = out.withColumn("p_value", chi2_sf_udf("chi2", dof)).withColumn("log10_p", chi2_log10_udf("chi2", dof))
     return out
 
 
 def cramers_v_matrix(df: DataFrame, cols, na: str = "NA", yates: bool = True) -> DataFrame:
     """Cramér's V for every ordered column pair (NULL -> 'NA'), long form."""
     filled = [F.coalesce(F.col(c).cast("string"), F.lit(na)) for c in cols]
-    pairs = [(f"{i}|{j}", filled[i], filled[j]) for i in range(len(cols)) for j in range(i, len(cols))]
-    st = chi2_from_cells(_cells(df, pairs), yates)
+    pairs = [(f"{i}|{j}", i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    st = chi2_from_cells(_cells(df, filled, pairs), yates)
     k = F.least(F.col("nr"), F.col("nc")) - 1
     v = F.when(k > 0, F.sqrt(F.col("chi2") / (F.col("total_n") * k))).otherwise(F.lit(0.0))
     names = F.array(*[F.lit(c) for c in cols])
@@ -82,7 +88,8 @@ def cramers_v_matrix(df: DataFrame, cols, na: str = "NA", yates: bool = True) ->
 
 def theils_u(df: DataFrame, cols, y: str, na: str = "NA") -> DataFrame:
     """Uncertainty coefficient U(y | x) in nats for each column x."""
-    cells = _cells(df, [(c, F.coalesce(F.col(c).cast("string"), F.lit(na)), F.col(y)) for c in cols])
+    filled = [F.coalesce(F.col(c).cast("string"), F.lit(na)) for c in cols]
+    cells = _cells(df, [*filled, F.col(y)], [(c, k, len(cols)) for k, c in enumerate(cols)])
     wa, wb, wp = Window.partitionBy("pair", "a"), Window.partitionBy("pair", "b"), Window.partitionBy("pair")
     j = (cells.withColumn("row_n", F.sum("n").over(wa)).withColumn("col_n", F.sum("n").over(wb))
          .withColumn("cnt_b", F.count(F.lit(1)).over(wb)).withColumn("total_n", F.sum("n").over(wp)))
@@ -157,7 +164,8 @@ def feature_report(df: DataFrame, feats, y: str = "is_fraud", min_rows: int = 10
     out = base.join(auc, "feature").select(
         "feature", F.greatest(F.col("auc_raw"), 1 - F.col("auc_raw")).alias("auc"), "corr", "n")
     if with_p:
-        out = out.withColumn("p_value", corr_pvalue_udf(F.col("corr"), F.col("n").cast("double")))
+        n = F.col("n").cast("double")
+        out = out.withColumn("p_value", corr_pvalue_udf("corr", n)).withColumn("log10_p", corr_log10_udf("corr", n))
     return out
 
 
@@ -166,7 +174,8 @@ def phi(df: DataFrame, a: str, b: str, with_p: bool = False) -> DataFrame:
     out = df.agg(safe_corr(F.col(a).cast("double"), F.col(b).cast("double")).alias("phi"),
                  F.count(F.lit(1)).alias("n"))
     if with_p:
-        out = out.withColumn("p_value", corr_pvalue_udf(F.col("phi"), F.col("n").cast("double")))
+        n = F.col("n").cast("double")
+        out = out.withColumn("p_value", corr_pvalue_udf("phi", n)).withColumn("log10_p", corr_log10_udf("phi", n))
     return out
 
 

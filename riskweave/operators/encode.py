@@ -55,17 +55,57 @@ def target_encode_apply(train: DataFrame, test: DataFrame, col: str, y: str = "i
     return j.withColumn(out, F.coalesce(_smooth(F.col("_s"), F.col("_n"), g, m), F.lit(g))).drop("_n", "_s")
 
 
+def category_counts(df: DataFrame, cols, y: str, by=()) -> DataFrame:
+    """(col, val, by..., n, s), written: rows and positives of every value of every column, from one scan.
+
+    The column named '' stands for all rows.  What is written is a row per value (and ``by``), read once per column
+    by the joins back."""
+    arr = F.array(F.struct(F.lit("").alias("col"), F.lit("").alias("val")),
+                  *[F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("val")) for c in cols])
+    return cut_lineage(df.select(*by, F.col(y).cast("double").alias("_y"), F.explode(arr).alias("_c"))
+                       .filter(F.col("_c.val").isNotNull()).groupBy("_c.col", "_c.val", *by)
+                       .agg(F.count(F.lit(1)).alias("n"), F.sum("_y").alias("s")))
+
+
+def _attach(df: DataFrame, table: DataFrame, c: str, by=()) -> DataFrame:
+    """``df`` with the rows of ``table`` (col, val, by..., values) of its value in column ``c``."""
+    own = table.filter(F.col("col") == c).drop("col").withColumnRenamed("val", "_val")
+    match = F.col(c).cast("string") == F.col("_val")
+    for k in by:
+        own = own.withColumnRenamed(k, f"_by_{k}")
+        match &= F.col(k) == F.col(f"_by_{k}")
+    return df.join(own, match, "left").drop("_val", *[f"_by_{k}" for k in by])
+
+
 def target_encode_columns(train: DataFrame, test: DataFrame, cols, y: str = "is_fraud",
                           fold: str = "fold", m: float = MIN_SAMPLES) -> tuple[DataFrame, DataFrame]:
-    """G1 on train and G2 on test for each column; one plan per side."""
-    g = global_mean(train, y)
-    for c in cols:
-        test = target_encode_apply(train, test, c, y, m, g=g)
+    """G1 on train and G2 on test for each column; the training rows are scanned once for all of them."""
+    counts = category_counts(train, cols, y, (fold,))
+    value = Window.partitionBy("col", "val")
+    totals = counts.groupBy("col", "val").agg(F.sum("n").alias("_n"), F.sum("s").alias("_s"))
+    everything = totals.filter("col = ''").first()
+    g = everything["_s"] / everything["_n"] if everything else 0.0
+    others = counts.select("col", "val", fold, (F.sum("n").over(value) - F.col("n")).alias("_n"),
+                           (F.sum("s").over(value) - F.col("s")).alias("_s"))
+
+    def encoded(c: str):
+        return F.when(F.col("_n") > 0, _smooth(F.col("_s"), F.col("_n"), g, m)).otherwise(F.lit(g))
+
     for c in cols:
-        train = target_encode_oof(train, c, y, fold, m, g=g)
+        test = _attach(test, totals, c).withColumn(f"{c}_enc", encoded(c)).drop("_n", "_s")
+        train = _attach(train, others, c, (fold,)).withColumn(f"{c}_enc", encoded(c)).drop("_n", "_s")
     return train, test
 
 
+def frequency_encode_columns(df: DataFrame, cols) -> DataFrame:
+    """G13 for several columns, whose values are counted in one scan."""
+    counts = category_counts(df.withColumn("_one", F.lit(1)), cols, "_one").filter("col <> ''")
+    share = counts.select("col", "val", (F.col("n") / F.sum("n").over(Window.partitionBy("col"))).alias("_share"))
+    for c in cols:
+        df = _attach(df, share, c).withColumn(f"{c}_freq", F.coalesce("_share", F.lit(0.0))).drop("_share")
+    return df
+
+
 def frequency_encode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
     """Share of the value among non-null rows; NULL -> 0."""
     out = out or f"{col}_freq"

@@ -27,6 +27,19 @@ def rate_by_group(df: DataFrame, c: str, y: str = "is_fraud", min_n: int | None
     return out.orderBy(F.desc("rate"), F.col(c))
 
 
+def categorical_cols(df: DataFrame, exclude=()) -> list[str]:
+    """Text columns of the schema, less a deny-list."""
+    return [name for name, kind in df.dtypes if kind == "string" and name not in set(exclude)]
+
+
+def rates_by_columns(df: DataFrame, cols, y: str = "is_fraud") -> DataFrame:
+    """A27 for several columns in one scan: (column, value, rate, n) of every non-null value."""
+    arr = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols])
+    return (df.select(F.col(y).cast("double").alias("_y"), F.explode(arr).alias("_c")).filter(F.col("_c.value").isNotNull())
+            .groupBy("_c.column", "_c.value").agg(F.avg("_y").alias("rate"), F.count(F.lit(1)).alias("n"))
+            .orderBy("column", F.desc("rate"), "value"))
+
+
 def fraud_share_by(df: DataFrame, c: str, y: str = "is_fraud") -> DataFrame:
     """Fraud count, total and percent per group having some fraud."""
     return (df.filter(F.col(c).isNotNull()).groupBy(c)

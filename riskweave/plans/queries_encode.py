@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.exprs import email_domain
-from ..operators.encode import (frequency_encode, target_encode_apply, target_encode_columns,
-                                target_encode_oof, target_mean_encode)
+from ..operators.encode import (frequency_encode_columns, target_encode_apply, target_encode_columns,
+                                target_mean_encode)
 from ..operators.folds import assign_folds
 from ..operators.graph_oof import graph_features_apply, graph_features_oof
 from .registry import fixture, query
@@ -52,9 +52,7 @@ GROUP BY r.id_user"""
     + " ".join(f"JOIN ({_oof_sql(c)}) e{i} ON a.id_user = e{i}.id_user" for i, c in enumerate(ENC_COLS))))
 def q_target_oof(spark, sf_dir):
     tr = train_with_folds(fixture(spark, sf_dir))
-    out = tr
-    for c in ENC_COLS:
-        out = target_encode_oof(out, c)
+    out, _ = target_encode_columns(tr, tr.limit(0), ENC_COLS)
     return out.select("id_user", *[f"{c}_enc" for c in ENC_COLS])
 
 
@@ -109,9 +107,7 @@ FROM (SELECT *, coalesce(split(email, '@')[2], 'missing') AS domain FROM users)
         WHERE {c} IS NOT NULL GROUP BY 1) f{i} ON u.{c} = f{i}.v""" for i, c in enumerate(ENC_COLS)))
 def q_frequency(spark, sf_dir):
     u = fixture(spark, sf_dir).users.withColumn("domain", email_domain("email"))
-    for c in ENC_COLS:
-        u = frequency_encode(u, c)
-    return u.select("id_user", *[f"{c}_freq" for c in ENC_COLS])
+    return frequency_encode_columns(u, ENC_COLS).select("id_user", *[f"{c}_freq" for c in ENC_COLS])
 
 
 _MERGED = """m AS (SELECT t.*, u.email, u.gender, u.reg_country, u.traffic_type, u.timestamp_reg, u.is_fraud,

@@ -12,10 +12,13 @@ from pyspark.sql import functions as F
 
 from ..operators.boosting import boosted_importance, boosted_labels, fit_boosted
 from ..operators.evaluate import best_threshold, classification_report, f1_at, threshold_sweep
-from ..operators.model import cv_f1, model_matrix, select_features
+from ..operators.model import FEATURE_COLS, cv_f1, model_matrix, select_features
 from ..sources.io import load_table, parse_ts, parse_ts_iso
 from .features import build_features
-from .pipeline import fit_models, prepare, run_pipeline
+from .oracle import feature_ctes
+from .pipeline import ENC_COLS, GRAPH_COLS, fit_models, prepare, run_pipeline
+from .queries_anomaly import KNN_CTES
+from .queries_encode import _GRAPH_ORACLE, FOLDS_SQL, _oof_sql
 from .registry import fixture, query
 
 
@@ -77,7 +80,20 @@ def q_report(spark, sf_dir):
     return classification_report(_fixed_scores(spark, sf_dir), 0.5)
 
 
-@query("m01_model_matrix")
+def _matrix_sql() -> str:
+    """Every feature of the training users, their out-of-fold encodings and card scores, and the neighbour distance."""
+    source = {"knn_avg_dist": "knn.knn_avg_dist", "status_changes_per_tx": "f.status_changes / (f.tx_count + 1e-6)",
+              **{c: f"g.{c}" for c in GRAPH_COLS}, **{f"{c}_enc": f"e{k}.{c}_enc" for k, c in enumerate(ENC_COLS)}}
+    columns = ", ".join(f"coalesce(CAST({source.get(c, f'f.{c}')} AS DOUBLE), 0) AS {c}" for c in FEATURE_COLS)
+    encodings = ", ".join(f"e{k} AS ({_oof_sql(c)})" for k, c in enumerate(ENC_COLS))
+    joins = " ".join(f"JOIN e{k} ON e{k}.id_user = f.id_user" for k in range(len(ENC_COLS)))
+    return f"""SELECT * FROM (WITH {feature_ctes("train_users", "train_tx", "m_").strip().rstrip(",")}, tr AS ({FOLDS_SQL}),
+{encodings}, g AS (SELECT * FROM (WITH {_GRAPH_ORACLE})), {KNN_CTES.strip()}
+SELECT f.id_user, f.is_fraud, tr.fold, {columns} FROM m_feat f JOIN tr ON tr.id_user = f.id_user {joins}
+JOIN g ON g.id_user = f.id_user JOIN knn ON knn.id_user = f.id_user AND knn.split = 'train') AS y"""
+
+
+@query("m01_model_matrix", _matrix_sql())
 def q_matrix(spark, sf_dir):
     tr, te = _prepared(spark, sf_dir)
     cols = select_features(tr, te)

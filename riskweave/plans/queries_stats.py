@@ -60,6 +60,46 @@ def q_rate_by_group_size(spark, sf_dir):
     return S.rate_by_group(fixture(spark, sf_dir).users, "reg_country", min_n=MIN_GROUP)
 
 
+# Fixed value: the notebook's group size.
+NOTEBOOK_GROUP = 1800
+
+
+@query("p15_groups_of_1800", f"""
+SELECT reg_country, avg(is_fraud) AS rate, count(*) AS n FROM users WHERE reg_country IS NOT NULL
+GROUP BY 1 HAVING count(*) >= {NOTEBOOK_GROUP}""")
+def q_large_groups(spark, sf_dir):
+    return S.rate_by_group(fixture(spark, sf_dir).users, "reg_country", min_n=NOTEBOOK_GROUP)
+
+
+@query("p15_groups_below_1800", f"""
+SELECT reg_country, avg(is_fraud) AS rate, count(*) AS n FROM users WHERE reg_country IS NOT NULL
+GROUP BY 1 HAVING count(*) < {NOTEBOOK_GROUP}""")
+def q_small_groups(spark, sf_dir):
+    return S.rate_by_group(fixture(spark, sf_dir).users, "reg_country", max_n=NOTEBOOK_GROUP)
+
+
+@query("p11_a27_rates_by_text_columns", " UNION ALL ".join(f"""
+SELECT '{c}' AS "column", {c} AS value, avg(is_fraud) AS rate, count(*) AS n FROM {U_DOM} WHERE {c} IS NOT NULL GROUP BY 2"""
+                                                           for c in USER_CATS))
+def q_rates_by_columns(spark, sf_dir):
+    u = users_d(fixture(spark, sf_dir))
+    return S.rates_by_columns(u, S.categorical_cols(u, exclude=("timestamp_reg", "email")))
+
+
+@query("a27_rate_by_error_group", f"""
+SELECT error_group, avg(is_fraud) AS rate, count(*) AS n FROM {MERGED} WHERE error_group IS NOT NULL GROUP BY 1""")
+def q_rate_by_error(spark, sf_dir):
+    return S.rate_by_group(merged(fixture(spark, sf_dir)), "error_group")
+
+
+@query("a34_transactions_per_user", """
+SELECT count(n) AS count, avg(n) AS mean, stddev_samp(n) AS std, min(n) AS min, quantile_cont(n, 0.25) AS p25,
+       quantile_cont(n, 0.5) AS p50, quantile_cont(n, 0.75) AS p75, max(n) AS max
+FROM (SELECT id_user, count(*) AS n FROM transactions GROUP BY 1)""")
+def q_tx_per_user(spark, sf_dir):
+    return S.describe_num(fixture(spark, sf_dir).transactions.groupBy("id_user").agg(F.count(F.lit(1)).alias("n")), "n")
+
+
 @query("a28_fraud_share_by_domain", f"""
 SELECT domain, CAST(sum(is_fraud) AS BIGINT) AS fraud_count, count(*) AS total_users,
        sum(is_fraud) / count(*) * 100.0 AS fraud_percentage
@@ -248,17 +288,53 @@ def q_phi(spark, sf_dir):
     return A.phi(build_features(fx.users, fx.transactions), "is_cvv_error", "is_fraud")
 
 
-@query("t_pvalues")
+def _fraction(terms: int, step: str, first: str) -> str:
+    """A continued fraction from its last term up: ``step`` is what stands above term i, given ``acc`` below."""
+    return f"list_reduce(range({terms}, 0, -1), lambda acc, i: {step}, CAST({first} AS DOUBLE))"
+
+
+def _chi2_log10(chi2: str, dof: str) -> str:
+    """log10 of the upper tail: the fraction of Gamma(a, x), or 1 less the power series below a + 1."""
+    a, x = f"(CAST({dof} AS DOUBLE) / 2)", f"(CAST({chi2} AS DOUBLE) / 2)"
+    above = _fraction(2000, f"{x} + 2 * i - 1 - {a} - i * (i - {a}) / acc", f"{x} + 4001 - {a}")
+    below = _fraction(500, f"1 + {x} / ({a} + i) * acc", "1")
+    return (f"CASE WHEN {dof} <= 0 OR {x} <= 0 THEN 0 WHEN {x} < {a} + 1 THEN log10(1 - exp({a} * ln({x}) - {x} - lgamma({a} + 1)) * {below}) "
+            f"ELSE ({a} * ln({x}) - {x} - lgamma({a}) - ln({above})) / ln(10) END")
+
+
+def _beta_ln(a: str, b: str, x: str) -> str:
+    odd = f"-({a} + (i - 1) / 2) * ({a} + {b} + (i - 1) / 2)"
+    fraction = _fraction(400, f"1 + CASE WHEN i % 2 = 0 THEN (i / 2) * ({b} - i / 2) ELSE {odd} END * {x} / (({a} + i - 1) * ({a} + i)) / acc", "1")
+    return f"(lgamma({a} + {b}) - lgamma({a}) - lgamma({b}) + {a} * ln({x}) + {b} * ln(1 - {x}) - ln({a}) - ln({fraction}))"
+
+
+def _corr_log10(r: str, n: str) -> str:
+    """log10 of the two-sided p of a correlation."""
+    a, r2 = f"(CAST({n} - 2 AS DOUBLE) / 2)", f"(CAST({r} AS DOUBLE) * {r})"
+    return (f"CASE WHEN {r} IS NULL OR {n} <= 2 THEN NULL WHEN {r2} = 0 THEN 0 WHEN 1 - {r2} < ({a} + 1) / ({a} + 2.5) THEN "
+            f"{_beta_ln(a, 'CAST(0.5 AS DOUBLE)', f'(1 - {r2})')} / ln(10) ELSE log10(1 - exp({_beta_ln('CAST(0.5 AS DOUBLE)', a, r2)})) END")
+
+
+_PVALUES = f"""
+SELECT test, subject, statistic, power(10, log10_p) AS p_value, log10_p FROM (
+  SELECT 'chi2' AS test, pair AS subject, chi2 AS statistic, {_chi2_log10('chi2', 'dof')} AS log10_p
+  FROM ({" UNION ALL ".join(f"SELECT * FROM {_chi2_sql(U_DOM, c, 'is_fraud')}" for c in USER_CATS)})
+  UNION ALL SELECT 'point_biserial', feature, corr, {_corr_log10('corr', 'n')} FROM ({_report_sql()})
+  UNION ALL SELECT 'phi', 'is_cvv_error', phi, {_corr_log10('phi', 'n')}
+  FROM (SELECT corr(is_cvv_error, is_fraud) AS phi, count(*) AS n FROM feat))"""
+
+
+@query("t_pvalues", _PVALUES)
 def q_pvalues(spark, sf_dir):
-    """p-values of T1, T4 and T6 (scalar tails on the statistics tables)."""
+    """p-values of T1, T4 and T6 and their logarithms (scalar tails on the statistics tables)."""
     fx = fixture(spark, sf_dir)
+    ps = ["p_value", "log10_p"]
     chi = A.chi2_table(users_d(fx), USER_CATS, "is_fraud").select(
-        F.lit("chi2").alias("test"), F.col("column").alias("subject"), F.col("chi2").alias("statistic"), "p_value")
+        F.lit("chi2").alias("test"), F.col("column").alias("subject"), F.col("chi2").alias("statistic"), *ps)
     rep = A.feature_report(report_frame(fx), REPORT_FEATURES, with_p=True).select(
-        F.lit("point_biserial").alias("test"), F.col("feature").alias("subject"),
-        F.col("corr").alias("statistic"), "p_value")
+        F.lit("point_biserial").alias("test"), F.col("feature").alias("subject"), F.col("corr").alias("statistic"), *ps)
     ph = A.phi(build_features(fx.users, fx.transactions), "is_cvv_error", "is_fraud", with_p=True).select(
-        F.lit("phi").alias("test"), F.lit("is_cvv_error").alias("subject"), F.col("phi").alias("statistic"), "p_value")
+        F.lit("phi").alias("test"), F.lit("is_cvv_error").alias("subject"), F.col("phi").alias("statistic"), *ps)
     return chi.unionByName(rep).unionByName(ph)
 
 
