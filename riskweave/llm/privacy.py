@@ -14,9 +14,11 @@ Terms of at least ``SUPPORT`` different contexts with an entity are removed at
 occur.  Copies of a passage are one context, so a copied document alone makes
 no term reveal anything.
 
-Candidate terms are handled in blocks of at most ``BLOCK_TERMS``, each block
-broadcast against all documents; more candidates mean more passes, nothing is
-left out.
+Three passes read the texts, however many candidates there are: one finds the
+entities and their terms, one counts the documents of candidate terms, one
+finds the occurrences of revealing ones.  The last two ask a Bloom filter of
+the terms (broadcast, ``FILTER_BITS`` at most); what passes is joined with the
+terms themselves, so a full filter costs shuffle and changes nothing.
 
 Edge cases: a null text is empty; terms are compared in lower case (A-Z),
 without ASCII punctuation; a term span that overlaps a base span is left to
@@ -31,12 +33,13 @@ import hashlib
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Work, text_or_empty
+from .common import U64, SpanHash, Work, mix64, text_blocks, text_or_empty, word_spans
 
 #: Kinds in the order of their listing; the last two are added by the method.
 KINDS = ("email", "ip", "card", "phone", "generalise", "remove")
@@ -46,7 +49,10 @@ WINDOW = 8
 SUPPORT = 3
 REMOVE = 0.95
 GENERALISE = 0.8
-BLOCK_TERMS = 200_000
+#: Bits of a term filter for each term, and at most.
+BITS_PER_TERM = 10
+FILTER_BITS = 1 << 26
+HASHES = 4
 
 # fixed values: the patterns of the base entities.  Possessive quantifiers and the look-behind change no match
 # (what follows a run is never in the run's class); they keep long runs linear.
@@ -162,56 +168,80 @@ def _scan(rows: DataFrame) -> DataFrame:
                                 "beside array<struct<entity:long,context:long,term:binary,first:boolean>>")
 
 
-def _blocks(terms_df: DataFrame, size: int) -> Iterator[list]:
-    """Rows of ``terms_df`` in blocks of about ``size``, dealt by hash."""
-    n = terms_df.count()
-    parts = -(-n // size)
-    for k in range(parts):
-        yield terms_df.filter(F.pmod(F.xxhash64("term"), F.lit(parts)) == k).collect()      # about ``size`` rows
+def _bits(keys: np.ndarray, size: int) -> np.ndarray:
+    """The ``HASHES`` bits of each hash in a filter of ``size`` bits (a power of two): rows of positions."""
+    step = mix64(keys, 5) | U64(1)
+    return ((keys[:, None] + np.arange(HASHES, dtype=U64)[None, :] * step[:, None]) & U64(size - 1)).astype(np.int64)
 
 
-def _document_counts(rows: DataFrame, block: list) -> DataFrame:
-    """(term, n): documents holding each term of a block; summed in each task first."""
-    wanted = rows.sparkSession.sparkContext.broadcast(frozenset(bytes(r["term"]) for r in block))
+def term_filter(terms_df: DataFrame, most: int = FILTER_BITS) -> np.ndarray:
+    """A Bloom filter of the column ``term`` as 64-bit words, whose number ``most`` bounds."""
+    wanted = BITS_PER_TERM * terms_df.count()
+    size = max(64, min(most, 1 << max(wanted - 1, 0).bit_length()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, n = wanted.value, {}
         for batch in batches:
-            for text in batch.column("text"):
-                for t in known.intersection(terms(text.as_py())):
-                    n[t] = n.get(t, 0) + 1
-        yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.binary()), pa.array(list(n.values()), pa.int64())], ["term", "n"])
+            for _, _, data, offs in text_blocks(batch.column("term")):
+                at = np.unique(_bits(SpanHash(data)(offs[:-1], offs[1:]), size))
+                yield pa.RecordBatch.from_arrays([pa.array(at >> 6), pa.array(np.left_shift(U64(1), (at & 63).astype(U64)).view(np.int64))],
+                                                 ["word", "bits"])
+
+    got = (terms_df.select("term").mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
+           .toArrow())                                            # at most size / 64 rows
+    out = np.zeros(size // 64, U64)
+    out[got["word"].to_numpy()] = got["bits"].to_numpy().view(U64)
+    return out
+
+
+def _passing(col: pa.Array, words: np.ndarray) -> Iterator[tuple]:
+    """Per block of texts: first row, folded bytes, offsets, and start, end, row and hash of each word that passes the filter."""
+    for lo, _, data, offs in text_blocks(col):
+        folded = data.tobytes().translate(_FOLD)
+        block = np.frombuffer(folded, np.uint8)
+        start, end, row = word_spans(block, offs)
+        keys = SpanHash(block)(start, end)
+        at = _bits(keys, len(words) * 64)
+        held = ((words[at >> 6] >> (at & 63).astype(U64)) & U64(1)).all(axis=1) if len(keys) else np.zeros(0, bool)
+        yield lo, folded, block, offs, start[held], end[held], row[held], keys[held]
+
+
+def _document_counts(rows: DataFrame, words: np.ndarray) -> DataFrame:
+    """(term, n): documents holding each term that passes the filter; counted in each block first."""
+    sent = rows.sparkSession.sparkContext.broadcast(words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, folded, _, _, start, end, row, keys in _passing(batch.column("text"), sent.value):
+                order = np.lexsort((row, keys))
+                first = np.ones(len(order), bool)
+                first[1:] = (keys[order][1:] != keys[order][:-1]) | (row[order][1:] != row[order][:-1])
+                _, at, n = np.unique(keys[order][first], return_index=True, return_counts=True)
+                which = order[first][at]
+                found = [folded[a:b] for a, b in zip(start[which].tolist(), end[which].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), pa.array(n, pa.int64())], ["term", "n"])
 
     return rows.select("text").mapInArrow(run, "term binary, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
 
-def _occurrences(rows: DataFrame, block: list) -> DataFrame:
-    """(doc_id, mark, start, kind, end) of each occurrence of a block's terms, in code points."""
-    wanted = rows.sparkSession.sparkContext.broadcast({bytes(r["term"]): r["kind"] for r in block})
+def _occurrences(rows: DataFrame, words: np.ndarray) -> DataFrame:
+    """(doc_id, mark, term, start, end) of each occurrence of a term that passes the filter, in code points."""
+    sent = rows.sparkSession.sparkContext.broadcast(words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = wanted.value
         for batch in batches:
-            out: list[tuple] = []
-            for doc_id, mark, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "mark", "text")), strict=True):
-                folded = text.encode().translate(_FOLD)
-                if known.keys().isdisjoint(folded.split()):
-                    continue
-                at = points = 0
-                for m in _TERM.finditer(folded):
-                    if m[0] in known:
-                        points += len(folded[at:m.start()].decode())
-                        at = m.start()
-                        out.append((doc_id, mark, points, known[m[0]], points + len(m[0].decode())))
-            if out:
-                types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out, strict=True), types, strict=True)],
-                                                 ["doc_id", "mark", "start", "kind", "end"])
+            for lo, folded, block, offs, start, end, row, _ in _passing(batch.column("text"), sent.value):
+                points = np.zeros(len(block) + 1, np.int64)
+                np.cumsum((block & 0xC0) != 0x80, out=points[1:])
+                before, took = points[offs[row]], pa.array(lo + row)
+                found = [folded[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([
+                    batch.column("doc_id").take(took), batch.column("mark").take(took), pa.array(found, pa.binary()),
+                    pa.array(points[start] - before), pa.array(points[end] - before)], ["doc_id", "mark", "term", "start", "end"])
 
-    return rows.mapInArrow(run, "doc_id long, mark long, start long, kind int, end long")
+    return rows.mapInArrow(run, "doc_id long, mark long, term binary, start long, end long")
 
 
-def revealing_terms(work: Work, rows: DataFrame, scanned: DataFrame, block_terms: int = BLOCK_TERMS) -> DataFrame:
+def revealing_terms(work: Work, rows: DataFrame, scanned: DataFrame, filter_bits: int = FILTER_BITS) -> DataFrame:
     """(term, kind, disclosure): terms to generalise (kind 4) or remove (kind 5)."""
     total = scanned.count()
     beside = scanned.select(F.explode("beside").alias("b")).select("b.entity", "b.context", "b.term", "b.first")
@@ -221,12 +251,7 @@ def revealing_terms(work: Work, rows: DataFrame, scanned: DataFrame, block_terms
                      .filter(F.col("support") >= SUPPORT), "pairs")
     entities = (scanned.select(F.array_distinct(F.transform("beside", lambda b: b["entity"])).alias("e"))
                 .select(F.explode("e").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_e")))
-    counted = None
-    for k, block in enumerate(_blocks(pairs.select("term").distinct(), block_terms)):
-        got = work.cut(_document_counts(rows, block), f"counts-{k}")
-        counted = got if counted is None else counted.unionAll(got)
-    if counted is None:
-        counted = rows.sparkSession.createDataFrame([], "term binary, n long")
+    counted = _document_counts(rows, term_filter(pairs.select("term").distinct(), filter_bits))
     part = F.log2(F.col("n_te") * F.lit(float(total)) / (F.col("n") * F.col("n_e"))) / F.log2(F.lit(float(total)) / F.col("n_e"))
     scored = (pairs.join(entities, "entity").filter(F.col("n_e") < total).join(counted, "term")
               .withColumn("disclosure", part).groupBy("term").agg(F.max("disclosure").alias("disclosure")))
@@ -235,18 +260,17 @@ def revealing_terms(work: Work, rows: DataFrame, scanned: DataFrame, block_terms
 
 
 def find_private(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 block_terms: int = BLOCK_TERMS) -> DataFrame:
+                 filter_bits: int = FILTER_BITS) -> DataFrame:
     """One row per input row: doc_id, mark (hash of the text), spans array<struct<start, kind, end>> in order."""
     with Work(df.sparkSession, "privacy") as work:
         rows = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
         rows = rows.withColumn("mark", F.xxhash64("text"))
         scanned = work.cut(_scan(rows), "scanned")
-        added = None
-        for k, block in enumerate(_blocks(revealing_terms(work, rows, scanned, block_terms).select("term", "kind"), block_terms)):
-            got = work.cut(_occurrences(rows, block).distinct(), f"occurrences-{k}")
-            added = got if added is None else added.unionAll(got)
-        if added is None:
+        revealing = revealing_terms(work, rows, scanned, filter_bits)
+        if revealing.isEmpty():
             return work.result(scanned.select("doc_id", "mark", "spans"))
+        added = (_occurrences(rows, term_filter(revealing, filter_bits)).join(revealing.select("term", "kind"), "term")
+                 .select("doc_id", "mark", "start", "kind", "end").distinct())
         added = added.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("start", "kind", "end")).alias("added"))
         both = scanned.alias("s").join(added.alias("a"), F.col("s.doc_id").eqNullSafe(F.col("a.doc_id"))
                                        & (F.col("s.mark") == F.col("a.mark")), "left")
