@@ -11,12 +11,13 @@ n-gram that is too rare to tell counts nothing.  Per document:
   long text can't dilute);
 * word score: mean log ratio.
 
-Each score is set against the good documents that were held out of the
+Both are log ratios of the two models, summed and scaled by the text's length.
+They are put on one scale by the good documents that were held out of the
 counts: margin = (score - their ``TOLERATED`` quantile) / (their median - that
 quantile).  The log importance weight is ``SHARPNESS`` times the smaller
-margin, 0 at most.  The sample is the Gumbel top-k of log weight plus seeded
-noise, k the number of documents with log weight 0 (or given); documents
-outside the sample are rejected.
+margin, whatever its size.  The sample is the Gumbel top-k of log weight plus seeded
+noise, without replacement; k is given, or the number of documents whose margin
+is not negative.  Documents outside the sample are rejected.
 
 Bounds: at most ``MAX_LABELS`` labelled documents fit the target (least
 hashes of the id); raw counts and scores cover all documents and whole texts.
@@ -177,8 +178,9 @@ def gumbel(*cols, seed: int = SEED):
 
 def resample(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              quality_col: str = "quality", toxic_col: str = "toxic", k: int | None = None,
-             max_labels: int = MAX_LABELS, tolerated: float = TOLERATED, carry: tuple[str, ...] = ()) -> DataFrame:
-    """One row per input row: doc_id, *carry, prefixes, words, log_weight, key, kept."""
+             max_labels: int = MAX_LABELS, tolerated: float = TOLERATED, carry: tuple[str, ...] = (),
+             seed: int = SEED) -> DataFrame:
+    """One row per input row: doc_id, *carry, prefixes, words, log_weight, key, kept; ``seed`` of the noise."""
     with Work(df.sparkSession, "resample") as work:
         rows = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), *carry, text_or_empty(text_col).alias("text"))
         sample = LabelSample(labels, max_labels, id_col, quality_col, toxic_col)
@@ -194,9 +196,9 @@ def resample(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 continue
             low[c], mid[c] = marks[c]
             margins.append((F.col(c) - low[c]) / max(mid[c] - low[c], 1e-9))
-        margin = F.least(*margins, F.lit(0.0)) if margins else F.lit(0.0)
+        margin = F.least(*margins) if len(margins) > 1 else margins[0] if margins else F.lit(0.0)
         weighed = scored.withColumn("log_weight", margin * SHARPNESS)
-        weighed = weighed.withColumn("key", F.col("log_weight") + gumbel("doc_id"))
+        weighed = weighed.withColumn("key", F.col("log_weight") + gumbel("doc_id", seed=seed))
         # order-preserving bits: the key in units of 2^-20
         weighed = work.cut(weighed.withColumn("rank_key", F.floor(F.col("key") * (1 << 20)).cast("long")), "weighed")
         if k is None:
