@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 __all__ = [
     "EPS", "col_of", "email_domain", "email_local", "neq_null_true", "eps_ratio", "clip_lower",
     "seconds_between", "as_int", "tokens", "word_count", "first_token_lower", "name_in_email",
-    "clean_number", "rate_of", "error_rate_name", "parse_ts_lenient", "parse_ts_strict",
-    "is_night", "is_weekend",
+    "clean_number", "rate_of", "error_rate_name", "parse_ts_lenient",
 ]
 
 # Fixed value: the reference's ratio guard, /(d + 1e-6).
@@ -103,18 +102,3 @@ def parse_ts_lenient(c) -> Column:
     """``to_datetime(errors='coerce', utc=True)``: unparseable -> NULL."""
     x = col_of(c)
     return F.try_to_timestamp(x.cast("string"))
-
-
-def parse_ts_strict(c) -> Column:
-    """ISO-8601 parse that fails on bad input (ANSI)."""
-    return F.to_timestamp(col_of(c).cast("string"))
-
-
-def is_night(ts) -> Column:
-    h = F.hour(col_of(ts))
-    return ((h >= 0) & (h < 6)).cast("int")
-
-
-def is_weekend(ts) -> Column:
-    # weekday(): Monday = 0 ... Sunday = 6, same as pandas dayofweek.
-    return (F.weekday(col_of(ts)) >= 5).cast("int")

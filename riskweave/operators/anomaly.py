@@ -66,12 +66,6 @@ def robust_apply(df: DataFrame, params: dict[str, tuple[float, float]], suffix:
         for c, (med, scale) in params.items()})
 
 
-def robust_scale(train: DataFrame, test: DataFrame | None, cols, suffix: str = ""):
-    """Fit on ``train``, apply to both."""
-    p = robust_fit(train, cols)
-    return robust_apply(train, p, suffix), (robust_apply(test, p, suffix) if test is not None else None)
-
-
 def lof(df: DataFrame, cols, k: int = 20, contamination: float = CONTAMINATION,
         neighbours: TrainNeighbours | None = None) -> DataFrame:
     """Local Outlier Factor of every row (self excluded, duplicates

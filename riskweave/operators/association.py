@@ -26,10 +26,11 @@ def _cells(df: DataFrame, columns: list[Column], pairs: list[tuple[str, int, int
     names = [f"c{k}" for k in range(len(columns))]
     tuples = (df.select(*[c.cast("string").alias(n) for c, n in zip(columns, names)]).groupBy(*names)
               .agg(F.count(F.lit(1)).alias("n")))
-    arr = F.array(*[F.struct(F.lit(name).alias("pair"), F.col(names[i]).alias("a"), F.col(names[j]).alias("b")) for name, i, j in pairs])
-    return (tuples.select("n", F.explode(arr).alias("_c")).select("_c.*", "n")
-            .filter(F.col("a").isNotNull() & F.col("b").isNotNull())
-            .groupBy("pair", "a", "b").agg(F.sum("n").alias("n")))
+    arr = F.array(*[F.struct(F.lit(k).alias("pair"), F.col(names[i]).alias("a"), F.col(names[j]).alias("b")) for k, (_, i, j) in enumerate(pairs)])
+    cells = (tuples.select("n", F.explode(arr).alias("_c")).select("_c.*", "n")
+             .filter(F.col("a").isNotNull() & F.col("b").isNotNull())
+             .groupBy("pair", "a", "b").agg(F.sum("n").alias("n")))
+    return cells.withColumn("pair", F.element_at(F.array(*[F.lit(name) for name, _, _ in pairs]), F.col("pair") + 1))
 
 
 def chi2_from_cells(cells: DataFrame, yates: bool = True) -> DataFrame:
@@ -121,7 +122,7 @@ def score_counts(long: DataFrame) -> DataFrame:
         F.count_if(F.col("_y") == 1).alias("pos"), F.count_if(F.col("_y") != 1).alias("neg"))
 
 
-def auc_from_scores(scores: DataFrame, n_buckets: int = 64) -> DataFrame:
+def auc_from_scores(scores: DataFrame, n_buckets: int | None = None) -> DataFrame:
     """Tie-aware ROC AUC per feature (Mann-Whitney with average ranks)
     from distinct-score counts and prefix sums of negatives."""
     pref = bucketed_prefix_sums(scores, ["feature"], "value", ["neg"], n_buckets)
@@ -130,7 +131,7 @@ def auc_from_scores(scores: DataFrame, n_buckets: int = 64) -> DataFrame:
                      (F.sum("pos") * F.sum("neg")).cast("double")).alias("auc_raw"))
 
 
-def auc_from_long(long: DataFrame, n_buckets: int = 64) -> DataFrame:
+def auc_from_long(long: DataFrame, n_buckets: int | None = None) -> DataFrame:
     return auc_from_scores(score_counts(long), n_buckets)
 
 

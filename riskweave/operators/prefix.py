@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 
 def bucketed_row_number(df: DataFrame, partition_cols: list[str], order_cols: list[Column],
                         bucket: Column, out: str = "rn") -> DataFrame:
@@ -30,28 +32,28 @@ def bucketed_row_number(df: DataFrame, partition_cols: list[str], order_cols: li
 
 
 def bucketed_prefix_sums(df: DataFrame, part_cols: list[str], order_col: str, sum_cols: list[str],
-                         n_buckets: int = 64, accuracy: int = 10000) -> DataFrame:
+                         n_buckets: int | None = None) -> DataFrame:
     """Per row, the sums of ``sum_cols`` over rows of the same partition with a
     strictly smaller ``order_col`` (``df`` must hold distinct order values per
     partition, e.g. a distinct-score table).
 
-    Buckets are approximate quantiles of ``order_col`` per partition (at most
-    ``n_buckets`` boundaries each, a bounded broadcast side), so no window
+    A scan in two phases: rows are dealt by ranges of (partition, order) and written with their range's number, as
+    many ranges as the session has shuffle partitions (``n_buckets``, if given).  A row adds up what stands before
+    it in its range and the totals of earlier ranges, one row for each range and partition that meet, so no window
     spans a whole partition.
     """
     if not part_cols:
         df, part_cols = df.withColumn("_all", F.lit(0)), ["_all"]
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = df.groupBy(*part_cols).agg(F.percentile_approx(order_col, probs, accuracy).alias("_bounds"))
-    v = F.col(order_col)
-    b = df.join(F.broadcast(bounds), part_cols)
-    b = b.withColumn("_bucket", F.size(F.filter("_bounds", lambda x: x < v))).drop("_bounds")
+    ranges = [*part_cols, order_col]
+    dealt = df.repartitionByRange(n_buckets, *ranges) if n_buckets else df.repartitionByRange(*ranges)
+    # written, as the numbers must be the same for the totals and for the rows
+    b = cut_lineage(dealt.withColumn("_bucket", F.spark_partition_id()))
     tot = b.groupBy(*part_cols, "_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
     wo = Window.partitionBy(*part_cols).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offs = tot.select(*part_cols, "_bucket", *[F.coalesce(F.sum(f"_t_{c}").over(wo), F.lit(0)).alias(f"_o_{c}")
                                                for c in sum_cols])
     wi = Window.partitionBy(*part_cols, "_bucket").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
-    out = b.join(F.broadcast(offs), [*part_cols, "_bucket"])
+    out = b.join(offs, [*part_cols, "_bucket"])
     for c in sum_cols:
         out = out.withColumn(f"cum_{c}", F.col(f"_o_{c}") + F.coalesce(F.sum(c).over(wi), F.lit(0)))
     return out.drop("_bucket", "_all", *[f"_o_{c}" for c in sum_cols])

@@ -186,9 +186,3 @@ def class_balance(users: DataFrame, y: str = "is_fraud") -> DataFrame:
     """Users, frauds, fraud percent."""
     return users.agg(F.count(F.lit(1)).alias("users"), F.sum(F.col(y).cast("long")).alias("frauds"),
                      (F.avg(F.col(y).cast("double")) * 100.0).alias("fraud_percent"))
-
-
-def enough_non_null(df: DataFrame, cols, min_rows: int = 100) -> list[str]:
-    """Columns with at least ``min_rows`` non-null values (one aggregate)."""
-    r = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in cols]).first()
-    return [c for c in cols if r[c] >= min_rows]
