@@ -19,11 +19,12 @@ interchangeable); an empty table gives no blocks.
 
 from __future__ import annotations
 
+import json
 import os
-import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -32,25 +33,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import Work, text_blocks, text_or_empty
+from .common import SpanHash, Work, text_blocks, text_or_empty, word_spans
 
 #: Ids of a block (a longer document makes a block of its own).
 BLOCK_IDS = 1 << 18
 #: Distinct chunks a Python worker remembers.
-CACHE_CHUNKS = 600_000
+CACHE_CHUNKS = 1_200_000
 
 MAGIC = b"RWT1"
-# White space before a word belongs to the word's chunk.  No alternative of the byte-level
-# pre-tokenizer runs on from a non-space into a space, so chunks are tokenized independently.
-_CHUNK = re.compile(r"\s*\S+|\s+")
-# Separators that Python counts as white space and the pre-tokenizer does not.
-_ODD_SPACE = "\x1c\x1d\x1e\x1f"
+
+
+# The byte-level alphabet: printable bytes stand for themselves, the others for the characters from 256 on, in order.
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_LEVEL = {b: 256 + k for k, b in enumerate(sorted(set(range(256)) - set(_SHOWN)))}
+_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+_LATIN_END = "\u0250"
 
 
 class ChunkEncoder(dict):
     """Encodes texts with a byte-level BPE of the tokenizers library: chunk (a
     word with the white space before it) to its little-endian uint32 ids, kept
-    for the worker's life while there is room."""
+    for the worker's life while there is room.
+
+    No alternative of the byte-level pre-tokenizer runs on from a non-space into a space, so chunks are tokenized
+    independently; texts with white space beyond ASCII go to the library whole.  The chunks of a block of texts are
+    found and told apart by numpy, so that each distinct one is looked up once a block.  A new chunk of a space and
+    Latin letters is one pre-token, so the library's model takes it as it is; marks
+    after a letter are a pre-token of their own.  Other new chunks are encoded as one text; the bytes that each id
+    stands for tell where a chunk's ids end."""
 
     def __init__(self, tokenizer_path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -58,27 +68,114 @@ class ChunkEncoder(dict):
 
         tokenizer = Tokenizer.from_file(tokenizer_path)
         self.encode = getattr(tokenizer, "encode_batch_fast", tokenizer.encode_batch)
-
-    def __missing__(self, chunk: str) -> bytes:
-        # a stop or comma after a letter is a token run of its own: the rest is looked up without it
-        if chunk[-1:] in (".", ",") and chunk[-2:-1].isalpha() and chunk[-2] < "\u0250":
-            ids = self[chunk[:-1]] + self[chunk[-1]]
-        else:
-            ids = array("I", self.encode([chunk], add_special_tokens=False)[0].ids).tobytes()
-        if len(self) < CACHE_CHUNKS:
-            self[chunk] = ids
-        return ids
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text."""
-        get = self.__getitem__
-        out = [b"" if any(c in t for c in _ODD_SPACE) else b"".join(map(get, _CHUNK.findall(t))) for t in texts]
-        odd = [k for k, t in enumerate(texts) if any(c in t for c in _ODD_SPACE)]
-        for k, e in zip(odd, self.encode([texts[k] for k in odd], add_special_tokens=False), strict=True):
-            out[k] = array("I", e.ids).tobytes()
+        # a byte-level token has a character for each byte
+        vocabulary = tokenizer.get_vocab()
+        self.width = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self.width[list(vocabulary.values())] = [len(t) for t in vocabulary]
+        made = json.loads(Path(tokenizer_path).read_text())
+        split = made.get("pre_tokenizer") or {}
+        self.model = tokenizer.model
+        #: Whether words are pre-tokens as described: the usual byte-level rule and nothing before it.
+        self.plain = (split.get("type") == "ByteLevel" and not split.get("add_prefix_space") and split.get("use_regex", True)
+                      and not made.get("normalizer") and not any(t["content"].strip().isalpha() for t in made.get("added_tokens", [])))
+        if hasattr(self.model, "_resize_cache"):
+            self.model._resize_cache(0)                       # words come once
+        #: Chunks of the texts at hand for which there is no room.
+        self.extra: dict[str, bytes] = {}
+
+    def _one(self, chunk: str) -> bytes:
+        return array("I", self.encode([chunk], add_special_tokens=False)[0].ids).tobytes()
+
+    def _word(self, chunk: str) -> bytes:
+        shown = "\u0120" + chunk[1:] if chunk.isascii() else chunk.encode().decode("latin-1").translate(_BYTE_LEVEL)
+        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+
+    def _together(self, chunks: list[str]) -> list[bytes]:
+        """Ids of chunks that begin with white space and end without it."""
+        ids = np.array(self.encode(["".join(chunks)], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.cumsum([len(c.encode()) for c in chunks])
+        reached = np.cumsum(self.width[ids])
+        cut = np.searchsorted(reached, ends)
+        if not np.array_equal(reached[np.minimum(cut, len(ids) - 1)], ends):
+            return [self._one(c) for c in chunks]
+        raw, cut = ids.tobytes(), ((cut + 1) * 4).tolist()
+        return [raw[lo:hi] for lo, hi in zip([0, *cut[:-1]], cut, strict=True)]
+
+    def _learn(self, chunks: set[str]) -> None:
+        """Ids of ``chunks``, none of which is known."""
+        self.extra, marked, rest = {}, [], []
+        got: dict[str, bytes] = {}
+        for c in chunks:
+            if c[0] == " " and self.plain:
+                base = c if c[-1].isalpha() else c.rstrip(_MARKS)
+                word = base[1:]
+                if word.isalpha() and (word.isascii() or max(word) < _LATIN_END):
+                    if base is not c:
+                        marked.append((c, base))
+                    if base is c or base not in got and base not in self:
+                        got[base] = self._word(base)
+                    continue
+            rest.append(c)
+        tails = {c[len(base):] for c, base in marked}.difference(self)
+        joined = [c for c in rest if c[0].isspace() and not c[-1].isspace()]
+        got.update(zip(joined, self._together(joined), strict=True) if joined else ())
+        for c in tails.union(rest).difference(joined):
+            got[c] = self._one(c)
+        for c, base in marked:
+            tail = c[len(base):]
+            got[c] = (got.get(base) or self[base]) + (got.get(tail) or self[tail])
+        (self if len(self) + len(got) <= CACHE_CHUNKS else self.extra).update(got)
+
+    def __call__(self, data: np.ndarray, offs: np.ndarray) -> list[np.ndarray]:
+        """Ids of each text of a block, whose bytes and offsets are given."""
+        begin, end, row = chunk_spans(data, offs)
+        _, index, which = np.unique(SpanHash(data)(begin, end), return_index=True, return_inverse=True)
+        raw = data.tobytes()
+        found = [raw[a:b].decode() for a, b in zip(begin[index].tolist(), end[index].tolist(), strict=True)]
+        ids = list(map(self.get, found))
+        new = [k for k, x in enumerate(ids) if x is None]
+        if new:
+            self._learn({found[k] for k in new})
+            for k in new:
+                ids[k] = self.get(found[k]) or self.extra[found[k]]
+        sizes = np.array([len(x) // 4 for x in ids], np.int64)
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        each = sizes[which]
+        ends = np.cumsum(each)
+        every = flat[np.repeat((np.cumsum(sizes) - sizes)[which] - (ends - each), each) + np.arange(ends[-1] if len(ends) else 0)]
+        cuts = np.concatenate([[0], ends])[np.searchsorted(row, np.arange(len(offs)))]
+        out = [every[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+        for k in odd_rows(data, offs):
+            out[k] = np.frombuffer(self._one(raw[offs[k]:offs[k + 1]].decode()), "<u4")
         return out
 
 
+def chunk_spans(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of each chunk of a block: a word with the (ASCII) white space before it, or what white space ends a row."""
+    start, end, row = word_spans(data, offs)
+    begin = np.concatenate([[0], end[:-1]]) if len(end) else end
+    head = np.ones(len(row), bool)
+    head[1:] = row[1:] != row[:-1]
+    begin[head] = offs[row[head]]
+    rest = offs[:-1].copy()
+    rest[row] = end                                               # the last word's end stays
+    tail = np.flatnonzero(rest < offs[1:])
+    order = np.argsort(np.concatenate([begin, rest[tail]]), kind="stable")
+    return (np.concatenate([begin, rest[tail]])[order], np.concatenate([end, offs[1:][tail]])[order],
+            np.concatenate([row, tail])[order])
+
+
+def odd_rows(data: np.ndarray, offs: np.ndarray) -> list[int]:
+    """Rows with white space beyond ASCII."""
+    at = np.flatnonzero((data == 0xC2) | (data == 0xE1) | (data == 0xE2) | (data == 0xE3))
+    one, two = (np.concatenate([data, np.zeros(2, np.uint8)])[at + k] for k in (1, 2))
+    lead = data[at]
+    odd = (((lead == 0xC2) & ((one == 0x85) | (one == 0xA0))) | ((lead == 0xE1) & (one == 0x9A) & (two == 0x80))
+           | ((lead == 0xE2) & (one == 0x80) & ((two <= 0x8A) | (two == 0xA8) | (two == 0xA9) | (two == 0xAF)))
+           | ((lead == 0xE2) & (one == 0x81) & (two == 0x9F)) | ((lead == 0xE3) & (one == 0x80) & (two == 0x80)))
+    return np.unique(np.searchsorted(offs, at[odd], "right") - 1).tolist()
+
+
 _encoders: dict[str, ChunkEncoder] = {}
 
 
@@ -90,59 +187,39 @@ def _encoder(path: str) -> ChunkEncoder:
 
 def encode_documents(df: DataFrame, tokenizer_path: str, end_id: int, vocab: int, id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
-    """Blocks of plain ids (shard, block, doc_ids, lens, ids) in ascending id order."""
+    """(doc_id, tie, ids, count_ids, counts): plain ids of each document with the end id (``tie``: a hash of the text);
+    and a row for each task, without ``ids``, that says how often which id came."""
     width = "<u2" if vocab <= 1 << 16 else "<u4"
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    tie = F.xxhash64("text")
-    rows = rows.repartitionByRange(F.col("doc_id").asc_nulls_first(), tie).sortWithinPartitions(
-        F.col("doc_id").asc_nulls_first(), tie)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, shard, block = _encoder(tokenizer_path), TaskContext.get().partitionId(), 0
-        end = np.array([end_id], width).tobytes()
-        held: list[tuple] = []
-        size = 0
-
-        def flush() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([
-                pa.array([shard], pa.int64()), pa.array([block], pa.int64()),
-                pa.array([[d for d, _, _ in held]], pa.list_(pa.int64())),
-                pa.array([[n for _, n, _ in held]], pa.list_(pa.int64())),
-                pa.array([b"".join(x for _, _, x in held)], pa.binary())],
-                ["shard", "block", "doc_ids", "lens", "ids"])
-
-        for batch in batches:
-            for lo, hi, _, _ in text_blocks(batch.column("text")):
-                ids = batch.column("doc_id").slice(lo, hi - lo).to_pylist()
-                for d, raw in zip(ids, encode(batch.column("text").slice(lo, hi - lo).to_pylist()), strict=True):
-                    n = len(raw) // 4 + 1
-                    if held and size + n > BLOCK_IDS:
-                        yield flush()
-                        block, held[:], size = block + 1, [], 0
-                    held.append((d, n, np.frombuffer(raw, "<u4").astype(width).tobytes() + end))
-                    size += n
-        if held:
-            yield flush()
-
-    return rows.mapInArrow(run, "shard long, block long, doc_ids array<long>, lens array<long>, ids binary")
-
-
-def id_counts(blocks: DataFrame, vocab: int) -> DataFrame:
-    """(id, n) over all ids; each task adds its own up before the shuffle."""
-    width = "<u2" if vocab <= 1 << 16 else "<u4"
+    rows = rows.select("doc_id", F.xxhash64("text").alias("tie"), "text")
+    schema = pa.schema([("doc_id", pa.int64()), ("tie", pa.int64()), ("ids", pa.binary()), ("count_ids", pa.list_(pa.int32())),
+                        ("counts", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode, end = _encoder(tokenizer_path), np.array([end_id], width).tobytes()
         total = np.zeros(vocab, np.int64)
         for batch in batches:
-            for x in batch.column("ids"):
-                got = np.bincount(np.frombuffer(x.as_buffer(), width))
-                if len(got) > len(total):
-                    total = np.pad(total, (0, len(got) - len(total)))
+            for lo, hi, data, offs in text_blocks(batch.column("text")):
+                ids = [x.astype(width).tobytes() + end for x in encode(data, offs)]
+                got = np.bincount(np.frombuffer(b"".join(ids), width))
+                total = np.pad(total, (0, max(0, len(got) - len(total))))
                 total[:len(got)] += got
+                none = pa.nulls(hi - lo)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), batch.column("tie").slice(lo, hi - lo),
+                                                  pa.array(ids, pa.binary()), none.cast(schema.field(3).type),
+                                                  none.cast(schema.field(4).type)], schema=schema)
         at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], ["id", "n"])
+        if len(at):
+            yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((None, None, None, at, total[at]), schema, strict=True)],
+                                             schema=schema)
+
+    return rows.mapInArrow(run, "doc_id long, tie long, ids binary, count_ids array<int>, counts array<long>")
 
-    return blocks.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+
+def id_counts(plain: DataFrame) -> DataFrame:
+    """(id, n) over all ids, from the tasks' counts."""
+    both = plain.filter("ids IS NULL").select(F.explode(F.arrays_zip("count_ids", "counts")).alias("c"))
+    return both.groupBy(F.col("c.count_ids").alias("id")).agg(F.sum("c.counts").alias("n"))
 
 
 # ---------------------------------------------------------------- coding
@@ -209,7 +286,7 @@ def write_token_files(df: DataFrame, path: str, tokenizer_path: str, end_id: int
         plain = encode_documents(df, tokenizer_path, end_id, vocab, id_col, text_col)
         plain.write.option("compression", "zstd").parquet(work.path("plain"))
         plain = spark.read.schema(plain.schema).parquet(work.path("plain"))
-        counted = id_counts(plain, vocab).collect()            # at most one row per id of the vocabulary
+        counted = id_counts(plain).collect()                   # at most one row per id of the vocabulary
         order = [r["id"] for r in sorted(counted, key=lambda r: (-r["n"], r["id"]))]
         spark.createDataFrame(list(enumerate(order)), "rank long, id long").coalesce(1).write.parquet(f"{path}/ranks")
         rank = np.zeros(max([vocab, *(i + 1 for i in order)]), np.uint32)
@@ -217,17 +294,31 @@ def write_token_files(df: DataFrame, path: str, tokenizer_path: str, end_id: int
         width = "<u2" if vocab <= 1 << 16 else "<u4"
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            shard, block, size = TaskContext.get().partitionId(), 0, 0
+            held: list[tuple] = []
+
+            def flush() -> pa.RecordBatch:
+                lens = [len(x) for _, x in held]
+                ids = np.concatenate([x for _, x in held])
+                return pa.RecordBatch.from_arrays([
+                    pa.array([shard], pa.int64()), pa.array([block], pa.int64()), pa.array([len(ids)], pa.int64()),
+                    pa.array([pack_block([d for d, _ in held], lens, rank[ids])], pa.binary())],
+                    ["shard", "block", "n_ids", "payload"])
+
             for batch in batches:
-                for row in range(batch.num_rows):
-                    shard, block, docs, lens, raw = (c[row] for c in batch.columns)
-                    ids = np.frombuffer(raw.as_buffer(), width)
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array([shard.as_py()], pa.int64()), pa.array([block.as_py()], pa.int64()),
-                        pa.array([len(ids)], pa.int64()),
-                        pa.array([pack_block(docs.as_py(), lens.as_py(), rank[ids])], pa.binary())],
-                        ["shard", "block", "n_ids", "payload"])
-
-        (plain.mapInArrow(run, "shard long, block long, n_ids long, payload binary")
+                for doc, raw in zip(batch.column("doc_id").to_pylist(), batch.column("ids"), strict=True):
+                    ids = np.frombuffer(raw.as_py(), width)       # a copy, as the batch goes
+                    if held and size + len(ids) > BLOCK_IDS:
+                        yield flush()
+                        block, held[:], size = block + 1, [], 0
+                    held.append((doc, ids))
+                    size += len(ids)
+            if held:
+                yield flush()
+
+        order_by = (F.col("doc_id").asc_nulls_first(), F.col("tie"))
+        (plain.filter("ids IS NOT NULL").repartitionByRange(*order_by).sortWithinPartitions(*order_by).select("doc_id", "ids")
+         .mapInArrow(run, "shard long, block long, n_ids long, payload binary")
          .write.option("compression", "zstd").parquet(f"{path}/blocks"))
 
 
