@@ -86,7 +86,8 @@ def q_robust(spark, sf_dir):
 @query("g08_g09_knn_distance", f"SELECT * FROM (WITH {KNN_CTES} SELECT * FROM knn) AS y")
 def q_knn(spark, sf_dir):
     tr, te = scaled(fixture(spark, sf_dir))
-    both = tr.withColumn("split", F.lit("train")).unionByName(te.withColumn("split", F.lit("test")), allowMissingColumns=True)
+    cols = ["id_user", *AF]
+    both = cut_lineage(tr.select(*cols, F.lit("train").alias("split")).unionByName(te.select(*cols, F.lit("test").alias("split"))))
     return knn_stats(both, tr, AF, k=10).select("id_user", "split", "knn_avg_dist", "knn_max_dist", "knn_5th_dist")
 
 
