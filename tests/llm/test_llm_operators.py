@@ -764,3 +764,33 @@ def test_tiles_lose_no_link(spark):
         classes.setdefault(root, set()).add(got.get(fps[i], ("single", fps[i])))
     assert all(len(c) == 1 for c in classes.values())
     assert len({next(iter(c)) for c in classes.values()}) == len(classes)
+
+
+def test_latent_space_is_fitted_on_all_documents(spark, monkeypatch):
+    # more than twice as many documents as the fit used to draw
+    rng = np.random.default_rng(3)
+    vocabulary = [f"w{k}" for k in range(30)]
+    texts = [" ".join(vocabulary[k] for k in rng.integers(0, 30, 3)) for _ in range(9000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(vocabulary))], "item_id long, text string")
+    seen = {}
+
+    def keep(rows, items, weights, basis):
+        seen.update(items=items, weights=weights, basis=basis)
+        return rows.limit(0).selectExpr("doc_id", "mark", "doc_id item_id", "0d cosine", "0d lcs_ratio", "false answer_found")
+
+    monkeypatch.setattr(decontamination, "_leaks", keep)
+    monkeypatch.setattr(decontamination, "ITEM_SHARE", 0.0)
+    assert decontamination.find_leaks(docs, bench, rank=30).count() == 0
+    items, weights, basis = (seen[k] for k in ("items", "weights", "basis"))
+    a = np.zeros((9000, 30))
+    for k, t in enumerate(texts):
+        np.add.at(a[k], items.terms(decontamination._words_of(t)), 1)
+    expected = np.log((27000 / 16 + 2) / (a.sum(0) + 1))
+    assert np.allclose(weights[:-1], np.maximum(expected, 0.05), rtol=1e-5)
+    # a full basis turned to triangular form: Q R = A^T A Q0 holds for the A of all documents
+    a *= weights[:-1]
+    drawn = np.random.default_rng(decontamination.SEED).standard_normal((30, 30)) / weights[:-1, None]
+    for _ in range(2):
+        drawn = np.linalg.qr(a.T @ (a @ drawn))[0]
+    assert np.abs(np.abs((drawn * basis).sum(0)) - 1).max() < 1e-3
