@@ -156,3 +156,22 @@ def test_the_fit_is_bounded_and_scores_everything(spark):
     assert boosting.predict_boosted(model, rows, model.final).count() == len(y)
     with pytest.raises(ValueError):
         boosting.fit_boosted(df, COLS, depth=3)
+
+
+def test_histogram_sums_every_bin_in_row_order():
+    rng = np.random.default_rng(8)
+    bins = np.array([7, 1, 256, 40])
+    x = np.stack([rng.integers(0, n, 500) for n in bins], 1).astype(np.uint8)
+    g, h = rng.standard_normal(500), rng.random(500)
+    grower = boosting._Grower(x, bins, boosting.BOOSTING)
+    for rows in (np.arange(500), np.flatnonzero(rng.random(500) < 0.3), np.zeros(0, np.int64)):
+        got, begin = grower.histogram(rows, g, h), 0
+        assert got.shape == (3, bins.sum())
+        for c, n in enumerate(bins):
+            for b in range(n):
+                here = [r for r in rows if x[r, c] == b]
+                total = [0.0, 0.0]
+                for r in here:
+                    total = [total[0] + g[r], total[1] + h[r]]
+                assert got[:, begin + b].tolist() == [*total, len(here)]
+            begin += n
