@@ -6,8 +6,7 @@ all documents, every other word weighs as the median term.  A randomised SVD
 of the TF-IDF passages of all documents, stacked with the benchmark's items at
 ``ITEM_SHARE`` times their energy, gives the latent space: each task adds up
 its part of ``A^T (A R)`` for a random R, the driver orthogonalises the sum
-(terms x ``RANK``), a second round repeats it from that basis.  The first round
-counts the terms in the same pass.  Every passage of every document, windows of 32 and 64 words every 16 words, is projected and compared
+(terms x ``RANK``), a second round repeats it from that basis.  Every passage of every document, windows of 32 and 64 words every 16 words, is projected and compared
 with every item by cosine (and must hold part of the item's latent length, so
 that few common words are no candidate).  An item longer than the longest window is compared
 by passages of that length, any of which makes it a candidate.  Candidates are verified on their words by longest
@@ -150,13 +149,33 @@ def _rows(total: np.ndarray) -> pa.RecordBatch:
                                       ["term", "part"])
 
 
-def cooccurrence(rows: DataFrame, items: Items, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``C^T (C vectors)`` over the 64-word passages of ``rows`` (C: how often a passage holds a term), and how often each
-    term, at n_terms any other word, and at last any word came."""
-    sent, n, k = vectors.astype(np.float32), items.n_terms, max(WINDOWS)
+def term_weights(rows: DataFrame, items: Items) -> tuple[np.ndarray, float]:
+    """Inverse frequency of the terms over all documents, at n_terms what any other word weighs; and the energy of the
+    documents, the squared weights of all their words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((n + 2, sent.shape[1] + 1))
+        total = np.zeros((items.n_terms + 2, 1))
+        for batch in batches:
+            for _, _, data, offs in text_blocks(batch.column("text")):
+                hashes, _ = hashed_words(data, offs)
+                total[:-1, 0] += np.bincount(items.terms(hashes), minlength=items.n_terms + 1)
+                total[-1, 0] += len(hashes)
+        yield _rows(total)
+
+    got = _sum_rows(rows, run, 1, items.n_terms + 2)[:, 0]
+    passages = got[-1] / SEGMENT + 1
+    weights = np.maximum(np.log((passages + 1) / (got[:items.n_terms] + 1)), 0.05)
+    return (np.append(weights, np.median(weights) if len(weights) else 1.0).astype(np.float32),
+            float((got[:items.n_terms] * weights ** 2).sum()))
+
+
+def sketch(rows: DataFrame, items: Items, weights: np.ndarray, basis: np.ndarray) -> np.ndarray:
+    """``A^T (A basis)`` over the 64-word passages of ``rows``."""
+    scaled = (basis * weights[:-1, None]).astype(np.float32)
+    n, k = items.n_terms, max(WINDOWS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((n, basis.shape[1]))
         for batch in batches:
             for _, _, data, offs in text_blocks(batch.column("text")):
                 hashes, row = hashed_words(data, offs)
@@ -164,49 +183,34 @@ def cooccurrence(rows: DataFrame, items: Items, vectors: np.ndarray) -> tuple[np
                     continue
                 seg = Segments(hashes, row)
                 term = items.terms(hashes)
-                total[:-1, -1] += np.bincount(term, minlength=n + 1)
-                total[-1, -1] += len(hashes)
                 known = np.flatnonzero(term < n)
                 # passages: every fourth segment of a row begins one
                 first = np.flatnonzero(np.concatenate([[True], seg.row[1:] != seg.row[:-1]]))
                 number = np.arange(len(seg.start)) - np.repeat(first, np.diff(np.append(first, len(seg.start))))
                 begins = number % k == 0
-                low = np.add.reduceat(seg.term_sums(sent, term), np.flatnonzero(begins), axis=0)
+                low = np.add.reduceat(seg.term_sums(scaled, term), np.flatnonzero(begins), axis=0)
                 passage = np.repeat(np.cumsum(begins) - 1, seg.word_end - seg.start)[known]
                 # a dimension at a time: its values of the passages and its sums stay in the processor's cache
                 known = term[known]
                 for j, values in enumerate(np.ascontiguousarray(low.T, dtype=float)):
-                    total[:n, j] += np.bincount(known, values[passage], n)
-        yield _rows(total)
-
-    got = _sum_rows(rows, run, sent.shape[1] + 1, n + 2)
-    return got[:n, :-1], got[:, -1]
-
-
-def term_weights(counts: np.ndarray) -> np.ndarray:
-    """Inverse frequency of the terms over all documents; at n_terms what any other word weighs."""
-    passages = counts[-1] / SEGMENT + 1
-    weights = np.maximum(np.log((passages + 1) / (counts[:-2] + 1)), 0.05)
-    return np.append(weights, np.median(weights) if len(weights) else 1.0).astype(np.float32)
+                    total[:, j] += np.bincount(known, values[passage], n)
+        yield _rows(total * weights[:-1, None])
 
+    return _sum_rows(rows, run, basis.shape[1], n)
 
-def latent_space(rows: DataFrame, items: Items, rank: int = RANK) -> tuple[np.ndarray, np.ndarray]:
-    """Weights of the terms, and the right singular basis (terms x rank) of the documents' and the items' TF-IDF passages.
 
-    With A = C W (W: the weights), ``A^T (A R)`` is ``W C^T (C (W R))``: the first round draws W R, so that it runs in the
-    pass that counts the terms."""
+def latent_space(rows: DataFrame, items: Items, weights: np.ndarray, energy: float, rank: int = RANK) -> np.ndarray:
+    """Right singular basis (terms x rank) of the documents' and the items' TF-IDF passages."""
     n = items.n_terms
-    drawn = np.random.default_rng(SEED).standard_normal((n, min(rank, n)))
-    got, counts = cooccurrence(rows, items, drawn)
-    weights = term_weights(counts)
-    scale = weights[:-1, None].astype(float)
+    width = min(rank, n)
     own = np.zeros((len(items.words), n), np.float32)
     for k, w in enumerate(items.words):
         np.add.at(own[k], items.terms(w), weights[items.terms(w)])
-    share = ITEM_SHARE * float((counts[:-2] * scale[:, 0] ** 2).sum()) / max(float((own ** 2).sum()), 1e-9)
-    basis = np.linalg.qr(scale * got + share * (own.T @ (own @ (drawn / scale))))[0]
-    got, _ = cooccurrence(rows, items, scale * basis)
-    return weights, np.linalg.qr(scale * got + share * (own.T @ (own @ basis)))[0]
+    share = ITEM_SHARE * energy / max(float((own ** 2).sum()), 1e-9)
+    basis = np.linalg.qr(np.random.default_rng(SEED).standard_normal((n, width)))[0]
+    for _ in range(2):
+        basis = np.linalg.qr(sketch(rows, items, weights, basis) + share * (own.T @ (own @ basis)))[0]
+    return basis
 
 
 def longest_common(words: list[int], other: list[int]) -> int:
@@ -331,7 +335,8 @@ def find_leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
             items = Items(queries.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect())
             if not items.n_terms:
                 continue
-            weights, basis = latent_space(rows, items, rank)
+            weights, energy = term_weights(rows, items)
+            basis = latent_space(rows, items, weights, energy, rank)
             got = work.cut(_leaks(rows, items, weights, basis), f"leaks-{k}")
             out = got if out is None else out.unionAll(got)
         if out is None:
