@@ -37,8 +37,9 @@ from .common import SpanHash, Work, text_blocks, text_or_empty, word_spans
 
 #: Ids of a block (a longer document makes a block of its own).
 BLOCK_IDS = 1 << 18
-#: Distinct chunks a Python worker remembers.
-CACHE_CHUNKS = 1_200_000
+#: Distinct chunks a Python worker remembers, and parts of chunks (words, marks) that it keeps as strings.
+CACHE_CHUNKS = 2_000_000
+CACHE_PARTS = 50_000
 
 MAGIC = b"RWT1"
 
@@ -50,14 +51,14 @@ _MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _LATIN_END = "\u0250"
 
 
-class ChunkEncoder(dict):
+class ChunkEncoder:
     """Encodes texts with a byte-level BPE of the tokenizers library: chunk (a
-    word with the white space before it) to its little-endian uint32 ids, kept
-    for the worker's life while there is room.
+    word with the white space before it) to its ids, kept for the worker's life
+    while there is room, by the chunk's hash in sorted arrays (some 20 bytes a chunk).
 
     No alternative of the byte-level pre-tokenizer runs on from a non-space into a space, so chunks are tokenized
     independently; texts with white space beyond ASCII go to the library whole.  The chunks of a block of texts are
-    found and told apart by numpy, so that each distinct one is looked up once a block.  A new chunk of a space and
+    found, told apart and looked up by numpy; only new ones become strings.  A new chunk of a space and
     Latin letters is one pre-token, so the library's model takes it as it is; marks
     after a letter are a pre-token of their own.  Other new chunks are encoded as one text; the bytes that each id
     stands for tell where a chunk's ids end."""
@@ -80,17 +81,32 @@ class ChunkEncoder(dict):
                       and not made.get("normalizer") and not any(t["content"].strip().isalpha() for t in made.get("added_tokens", [])))
         if hasattr(self.model, "_resize_cache"):
             self.model._resize_cache(0)                       # words come once
-        #: Chunks of the texts at hand for which there is no room.
-        self.extra: dict[str, bytes] = {}
+        dtype = "<u2" if len(self.width) <= 1 << 16 else "<u4"
+        #: Hashes of the known chunks, sorted; where the ids of each begin in ``flat``, and how many they are.
+        self.keys, self.at, self.sizes = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.flat = np.zeros(0, dtype)
+        #: Words and marks that came as a part of a chunk.
+        self.parts: dict[str, array] = {}
 
-    def _one(self, chunk: str) -> bytes:
-        return array("I", self.encode([chunk], add_special_tokens=False)[0].ids).tobytes()
+    def __len__(self) -> int:
+        return len(self.keys)
 
-    def _word(self, chunk: str) -> bytes:
+    def _one(self, chunk: str) -> array:
+        return array("I", self.encode([chunk], add_special_tokens=False)[0].ids)
+
+    def _word(self, chunk: str) -> array:
         shown = "\u0120" + chunk[1:] if chunk.isascii() else chunk.encode().decode("latin-1").translate(_BYTE_LEVEL)
-        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+        return array("I", [t.id for t in self.model.tokenize(shown)])
+
+    def _part(self, part: str) -> array:
+        got = self.parts.get(part)
+        if got is None:
+            got = self._word(part) if part[0] == " " else self._one(part)
+            if len(self.parts) < CACHE_PARTS:
+                self.parts[part] = got
+        return got
 
-    def _together(self, chunks: list[str]) -> list[bytes]:
+    def _together(self, chunks: list[str]) -> list[array]:
         """Ids of chunks that begin with white space and end without it."""
         ids = np.array(self.encode(["".join(chunks)], add_special_tokens=False)[0].ids, "<u4")
         ends = np.cumsum([len(c.encode()) for c in chunks])
@@ -98,55 +114,64 @@ class ChunkEncoder(dict):
         cut = np.searchsorted(reached, ends)
         if not np.array_equal(reached[np.minimum(cut, len(ids) - 1)], ends):
             return [self._one(c) for c in chunks]
-        raw, cut = ids.tobytes(), ((cut + 1) * 4).tolist()
-        return [raw[lo:hi] for lo, hi in zip([0, *cut[:-1]], cut, strict=True)]
-
-    def _learn(self, chunks: set[str]) -> None:
-        """Ids of ``chunks``, none of which is known."""
-        self.extra, marked, rest = {}, [], []
-        got: dict[str, bytes] = {}
-        for c in chunks:
+        every, cut = array("I", ids.tobytes()), (cut + 1).tolist()
+        return [every[lo:hi] for lo, hi in zip([0, *cut[:-1]], cut, strict=True)]
+
+    def _learn(self, chunks: list[str]) -> list[array]:
+        """Ids of each of ``chunks``, none of which is known."""
+        out: list = [None] * len(chunks)
+        joined = []
+        for k, c in enumerate(chunks):
             if c[0] == " " and self.plain:
                 base = c if c[-1].isalpha() else c.rstrip(_MARKS)
                 word = base[1:]
                 if word.isalpha() and (word.isascii() or max(word) < _LATIN_END):
-                    if base is not c:
-                        marked.append((c, base))
-                    if base is c or base not in got and base not in self:
-                        got[base] = self._word(base)
+                    out[k] = self._word(c) if len(base) == len(c) else self._part(base) + self._part(c[len(base):])
                     continue
-            rest.append(c)
-        tails = {c[len(base):] for c, base in marked}.difference(self)
-        joined = [c for c in rest if c[0].isspace() and not c[-1].isspace()]
-        got.update(zip(joined, self._together(joined), strict=True) if joined else ())
-        for c in tails.union(rest).difference(joined):
-            got[c] = self._one(c)
-        for c, base in marked:
-            tail = c[len(base):]
-            got[c] = (got.get(base) or self[base]) + (got.get(tail) or self[tail])
-        (self if len(self) + len(got) <= CACHE_CHUNKS else self.extra).update(got)
+            if c[0].isspace() and not c[-1].isspace():
+                joined.append(k)
+            else:
+                out[k] = self._one(c)
+        if joined:
+            for k, ids in zip(joined, self._together([chunks[k] for k in joined]), strict=True):
+                out[k] = ids
+        return out
+
+    def _look_up(self, raw: bytes, hashes: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and where in them those of each distinct chunk (its hash, ascending, and place) begin and how many they are."""
+        place = np.searchsorted(self.keys, hashes)
+        known = np.zeros(len(hashes), bool)
+        inside = np.flatnonzero(place < len(self.keys))
+        known[inside] = self.keys[place[inside]] == hashes[inside]
+        at, sizes = np.empty(len(hashes), np.int64), np.empty(len(hashes), np.int32)
+        at[known], sizes[known] = self.at[place[known]], self.sizes[place[known]]
+        new = np.flatnonzero(~known)
+        if not len(new):
+            return self.flat, at, sizes
+        got = self._learn([raw[a:b].decode() for a, b in zip(begin[new].tolist(), end[new].tolist(), strict=True)])
+        sizes[new] = [len(x) for x in got]
+        fresh = np.frombuffer(b"".join(got), np.uint32).astype(self.flat.dtype)
+        at[new] = len(self.flat) + np.cumsum(sizes[new], dtype=np.int64) - sizes[new]
+        flat = np.concatenate([self.flat, fresh])
+        if len(self.keys) + len(new) <= CACHE_CHUNKS:
+            self.keys, self.at, self.sizes = (np.insert(x, place[new], y[new]) for x, y in
+                                              ((self.keys, hashes), (self.at, at), (self.sizes, sizes)))
+            self.flat = flat
+        return flat, at, sizes
 
     def __call__(self, data: np.ndarray, offs: np.ndarray) -> list[np.ndarray]:
         """Ids of each text of a block, whose bytes and offsets are given."""
         begin, end, row = chunk_spans(data, offs)
-        _, index, which = np.unique(SpanHash(data)(begin, end), return_index=True, return_inverse=True)
+        hashes, index, which = np.unique(SpanHash(data)(begin, end), return_index=True, return_inverse=True)
         raw = data.tobytes()
-        found = [raw[a:b].decode() for a, b in zip(begin[index].tolist(), end[index].tolist(), strict=True)]
-        ids = list(map(self.get, found))
-        new = [k for k, x in enumerate(ids) if x is None]
-        if new:
-            self._learn({found[k] for k in new})
-            for k in new:
-                ids[k] = self.get(found[k]) or self.extra[found[k]]
-        sizes = np.array([len(x) // 4 for x in ids], np.int64)
-        flat = np.frombuffer(b"".join(ids), "<u4")
+        flat, at, sizes = self._look_up(raw, hashes, begin[index], end[index])
         each = sizes[which]
-        ends = np.cumsum(each)
-        every = flat[np.repeat((np.cumsum(sizes) - sizes)[which] - (ends - each), each) + np.arange(ends[-1] if len(ends) else 0)]
+        ends = np.cumsum(each, dtype=np.int64)
+        every = flat[np.repeat(at[which] - (ends - each), each) + np.arange(ends[-1] if len(ends) else 0)]
         cuts = np.concatenate([[0], ends])[np.searchsorted(row, np.arange(len(offs)))]
         out = [every[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
         for k in odd_rows(data, offs):
-            out[k] = np.frombuffer(self._one(raw[offs[k]:offs[k + 1]].decode()), "<u4")
+            out[k] = np.frombuffer(self._one(raw[offs[k]:offs[k + 1]].decode()), np.uint32)
         return out
 
 

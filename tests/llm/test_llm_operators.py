@@ -695,6 +695,20 @@ def test_encoder_without_room_for_chunks(monkeypatch, docs):
     assert got == want and len(encoder) <= 300
 
 
+def test_encoder_holds_few_bytes_a_chunk_and_encodes_it_once(monkeypatch):
+    import tracemalloc
+    own = pa.array([" ".join(f"w{a}x{b}, {'ab'[b % 2] * (a % 9 + 1)}q" for b in range(40)) for a in range(1000)])
+    encoder = token_files.ChunkEncoder(TOKENIZER)
+    tracemalloc.start()
+    want = [x.tolist() for _, _, data, offs in text_blocks(own, 100_000) for x in encoder(data, offs)]
+    del want[10:]
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert len(encoder) > 40_000 and held < 80 * len(encoder)
+    monkeypatch.setattr(encoder, "_learn", None)                  # every chunk is known by now
+    assert [x.tolist() for _, _, data, offs in text_blocks(own, 100_000) for x in encoder(data, offs)][:10] == want
+
+
 def test_token_files_round_trip(spark, docs, edges, empty, tmp_path):
     from tokenizers import Tokenizer
     token_files.write_token_files(docs, str(tmp_path / "t"), TOKENIZER)
