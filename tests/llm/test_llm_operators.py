@@ -534,6 +534,25 @@ def test_passages_beside_a_frequent_line_meet(spark):
     assert sum(x == y for x, y in got) >= 0.9 * len(pairs) and len({x for x, _ in got}) == len(pairs)
 
 
+def test_passages_around_a_line_of_many_others_meet_wherever_they_stand(spark):
+    rng = random.Random(21)
+
+    def fresh(n):
+        return [f"u{rng.randrange(10**9)}" for _ in range(n)]
+
+    # neither first in the line's group nor beside each other
+    line = fresh(44)
+    sides = [(fresh(5), fresh(5)) for _ in range(100)]
+    rows = [(k, fresh(30) + a + line + b + fresh(30)) for k, (a, b) in enumerate(sides) for _ in range(2)]
+    rows += [(-1, fresh(30) + line + fresh(30)) for _ in range(200)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame([(i, " ".join(w)) for i, (_, w) in enumerate(rows)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in compact_windows.passage_classes(df).collect()}
+    own = [[i for i, (n, _) in enumerate(rows) if n == k] for k in range(100)]
+    assert sum(got[x]["class_id"] == got[y]["class_id"] for x, y in own) >= 95
+    assert len({r["class_id"] for r in got.values()}) >= 300 and not any(got[i]["n_links"] for i, (n, _) in enumerate(rows) if n < 0)
+
+
 def test_inserted_and_deleted_words_keep_a_passage_together(spark):
     rng = random.Random(13)
     pairs = []
