@@ -18,7 +18,12 @@ from ..session import cut_lineage
 from .prefix import bucketed_prefix_sums
 
 
-def _cells(df: DataFrame, columns: list[Column], pairs: list[tuple[str, int, int]]) -> DataFrame:
+def _cells(df: DataFrame, pairs: list[tuple[str, Column, Column]]) -> DataFrame:
+    """Counts per (pair, a, b) of named pairs of columns."""
+    return _cells_of(df, [c for _, *both in pairs for c in both], [(name, 2 * k, 2 * k + 1) for k, (name, _, _) in enumerate(pairs)])
+
+
+def _cells_of(df: DataFrame, columns: list[Column], pairs: list[tuple[str, int, int]]) -> DataFrame:
     """Counts per (pair, a, b) of the named pairs of ``columns``; rows where a or b is NULL are dropped.
 
     Rows are counted by their whole tuple of values first; each tuple then adds its count to every pair, so what
@@ -62,7 +67,7 @@ def chi2_from_cells(cells: DataFrame, yates: bool = True) -> DataFrame:
 
 def chi2_table(df: DataFrame, cols, y: str, yates: bool = True, with_p: bool = True) -> DataFrame:
     """Chi-squared test of independence of each column with ``y``."""
-    cells = _cells(df, [F.col(c) for c in [*cols, y]], [(c, k, len(cols)) for k, c in enumerate(cols)])
+    cells = _cells_of(df, [F.col(c) for c in [*cols, y]], [(c, k, len(cols)) for k, c in enumerate(cols)])
     out = chi2_from_cells(cells, yates).withColumnRenamed("pair", "column")
     if with_p:
         dof = F.col("dof").cast("double")
@@ -74,7 +79,7 @@ def cramers_v_matrix(df: DataFrame, cols, na: str = "NA", yates: bool = True) ->
     """Cramér's V for every ordered column pair (NULL -> 'NA'), long form."""
     filled = [F.coalesce(F.col(c).cast("string"), F.lit(na)) for c in cols]
     pairs = [(f"{i}|{j}", i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    st = chi2_from_cells(_cells(df, filled, pairs), yates)
+    st = chi2_from_cells(_cells_of(df, filled, pairs), yates)
     k = F.least(F.col("nr"), F.col("nc")) - 1
     v = F.when(k > 0, F.sqrt(F.col("chi2") / (F.col("total_n") * k))).otherwise(F.lit(0.0))
     names = F.array(*[F.lit(c) for c in cols])
@@ -90,7 +95,7 @@ def cramers_v_matrix(df: DataFrame, cols, na: str = "NA", yates: bool = True) ->
 def theils_u(df: DataFrame, cols, y: str, na: str = "NA") -> DataFrame:
     """Uncertainty coefficient U(y | x) in nats for each column x."""
     filled = [F.coalesce(F.col(c).cast("string"), F.lit(na)) for c in cols]
-    cells = _cells(df, [*filled, F.col(y)], [(c, k, len(cols)) for k, c in enumerate(cols)])
+    cells = _cells_of(df, [*filled, F.col(y)], [(c, k, len(cols)) for k, c in enumerate(cols)])
     wa, wb, wp = Window.partitionBy("pair", "a"), Window.partitionBy("pair", "b"), Window.partitionBy("pair")
     j = (cells.withColumn("row_n", F.sum("n").over(wa)).withColumn("col_n", F.sum("n").over(wb))
          .withColumn("cnt_b", F.count(F.lit(1)).over(wb)).withColumn("total_n", F.sum("n").over(wp)))

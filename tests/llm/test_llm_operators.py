@@ -54,7 +54,7 @@ def texts(df):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_queries_equal_their_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     got = queries.QUERIES[name](spark, SF)
     cols = sorted(got.columns)
