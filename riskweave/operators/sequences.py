@@ -75,12 +75,13 @@ def user_sequences(tx: DataFrame, tiebreak=("id_tx",), k_first: int = 5, k_last:
         F.count("_gap").alias("g_n"), F.avg("_gap").alias("g_mean"),
         (F.coalesce(F.var_pop("_gap"), F.lit(0.0)) * F.count("_gap")).alias("g_m2"),
         F.min("_gap").alias("g_min"),
-        # first / last k rows of the segment (bounded arrays)
-        F.collect_list(F.when(F.col("_rn") <= k_first, F.struct(F.col("_rn").alias("rn"),
-                                                                 F.col("card_mask_hash").alias("card")))).alias("head"),
+        # cards of the first k rows, the last cvv row; no collected lists: the rows lie sorted by segment, and an aggregate
+        # with lists would be hashed and sorted again
+        *[F.max(F.when(F.col("_rn") == i, F.col("card_mask_hash"))).alias(f"head_{i}") for i in range(1, k_first + 1)],
         F.max(F.when(cvv, F.col("_rn"))).alias("last_cvv_rn"),
     )
     ws = Window.partitionBy("id_user").orderBy("_seg")
+    wu = Window.partitionBy("id_user")
     prev_last = F.lag("ts_last").over(ws)
     seg = (seg
            .withColumn("b_gap", seconds_between(F.col("ts_first"), prev_last))
@@ -90,8 +91,8 @@ def user_sequences(tx: DataFrame, tiebreak=("id_tx",), k_first: int = 5, k_last:
                        .otherwise(0))
            .withColumn("before", F.coalesce(F.sum("n").over(
                ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-           .withColumn("after", F.coalesce(F.sum("n").over(
-               ws.rowsBetween(1, Window.unboundedFollowing)), F.lit(0)))
+           # not a frame up to the last row, which Spark adds up anew for each row
+           .withColumn("after", F.sum("n").over(wu) - F.col("before") - F.col("n"))
            .withColumn("all_fail", F.col("nfail") == F.col("n"))
            .withColumn("g", F.sum(F.when(F.col("all_fail"), 0).otherwise(1)).over(
                ws.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
@@ -105,13 +106,13 @@ def user_sequences(tx: DataFrame, tiebreak=("id_tx",), k_first: int = 5, k_last:
         .when(has_b, F.lit(0.0)).otherwise(F.col("g_m2"))
     seg = seg.withColumn("gn", n1).withColumn("gmean", mean1).withColumn("gm2", m2_1).withColumn(
         "gmin", F.least("g_min", "b_gap"))
-    # first k overall: head rows whose global position before + rn <= k
-    seg = seg.withColumn("head_k", F.filter("head", lambda r: F.col("before") + r["rn"] <= k_first))
+    # first k overall: the card at each place, which is row place - before of one segment
+    first_k = [F.max(F.coalesce(*[F.when(F.col("before") + i == place, F.col(f"head_{i}")) for i in range(1, place + 1)]))
+               for place in range(1, k_first + 1)]
     # last k overall: a cvv row among the last k iff after + (n - rn) < k
     seg = seg.withColumn("cvv_tail", (F.col("last_cvv_rn").isNotNull()
                                       & (F.col("after") + F.col("n") - F.col("last_cvv_rn") < k_last)).cast("int"))
 
-    wu = Window.partitionBy("id_user")
     gm = F.try_divide(F.sum(F.col("gmean") * F.col("gn")).over(wu), F.sum("gn").over(wu).cast("double"))
     seg = seg.withColumn("_um", gm)
     per_user = seg.groupBy("id_user").agg(
@@ -129,10 +130,7 @@ def user_sequences(tx: DataFrame, tiebreak=("id_tx",), k_first: int = 5, k_last:
             F.sum(F.when(F.col("gn") > 0, F.col("gm2") + F.col("gn") * F.pow(F.col("gmean") - F.col("_um"), 2))),
             (F.sum("gn") - 1).cast("double"))).alias("_std"),
         F.sum("gn").alias("_gn"),
-        F.size(F.array_distinct(F.filter(F.flatten(F.collect_list(F.when(
-            F.size("head_k") > 0, F.transform("head_k", lambda r: r["card"])))),
-            lambda c: c.isNotNull()))).alias(
-            f"unique_cards_first_{k_first}"),
+        F.size(F.array_distinct(F.filter(F.array(*first_k), lambda c: c.isNotNull()))).alias(f"unique_cards_first_{k_first}"),
         F.max("cvv_tail").alias("is_cvv_error"),
         *([F.max(F.when(F.col("ts_first").isNotNull(), F.col("n"))).alias("max_hourly_burst")]
           if with_burst and segment_us == HOUR_US else []),

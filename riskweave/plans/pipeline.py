@@ -46,6 +46,8 @@ class PipelineResult:
 
 def prepare(train_users, train_tx, test_users, test_tx, seed: int = 42):
     """Feature tables for train (with folds, encodings, graph, KNN) and test."""
+    # written once: some twelve branches read the transactions
+    train_tx, test_tx = cut_lineage(train_tx), cut_lineage(test_tx)
     f_tr = cut_lineage(build_features(train_users, train_tx))
     f_te = cut_lineage(build_features(test_users, test_tx))
     tr, te = assign_folds(f_tr, seed=seed), f_te

@@ -1,7 +1,7 @@
 """Segmented sequence scan equals the unsegmented one for any segment width."""
 import pytest
 
-from conftest import SF001
+from conftest import SF001, make_tx
 from riskweave.operators.sequences import user_sequences
 from riskweave.sources.fixtures import load_fixture
 
@@ -19,3 +19,22 @@ def test_segment_width_invariance(spark, seg_us):
     ref = user_sequences(fx.transactions, segment_us=10**16).select(*cols)   # one segment per user
     got = user_sequences(fx.transactions, segment_us=seg_us).select(*cols)
     assert _rows(ref) == _rows(got)
+
+
+def test_first_cards_and_last_errors_across_segments(spark):
+    # ten rows ten minutes apart, in two clock hours: the first five rows and the last ten of a user span segments
+    cards = ["a", None, "b", "a", "c", "d", "e", "f", "g", "h"]
+    rows = [{"id_user": 1, "card_mask_hash": c} for c in cards]
+    rows += [{"id_user": 2, "card_mask_hash": "z", "error_group": "cvv error" if k == 0 else None} for k in range(11)]
+    rows += [{"id_user": 3, "card_mask_hash": None, "error_group": "cvv error"}]
+    for width in (1_000_000, 3_600_000_000, 10**16):
+        got = {r["id_user"]: (r["unique_cards_first_5"], r["is_cvv_error"])
+               for r in user_sequences(make_tx(spark, rows), segment_us=width).collect()}
+        assert got == {1: (3, 0), 2: (1, 0), 3: (0, 1)}, width
+
+
+def test_plan_has_no_growing_frames_or_hashed_lists(spark):
+    """A frame up to the partition's last row is added up anew for each row; lists make Spark hash and sort sorted rows again."""
+    plan = user_sequences(make_tx(spark, [{}]))._jdf.queryExecution().executedPlan().toString()
+    assert "unboundedfollowing$()), 1" not in plan and "1, unboundedfollowing" not in plan.lower()
+    assert "ObjectHashAggregate" not in plan
