@@ -48,10 +48,11 @@ def prepare(train_users, train_tx, test_users, test_tx, seed: int = 42):
     """Feature tables for train (with folds, encodings, graph, KNN) and test."""
     # written once: some twelve branches read the transactions
     train_tx, test_tx = cut_lineage(train_tx), cut_lineage(test_tx)
-    f_tr = cut_lineage(build_features(train_users, train_tx))
+    f_tr = cut_lineage(build_features(train_users, train_tx).withColumn("_row", F.monotonically_increasing_id()))
     f_te = cut_lineage(build_features(test_users, test_tx))
-    tr, te = assign_folds(f_tr, seed=seed), f_te
-    tr, te = target_encode_columns(tr, te, ENC_COLS)
+    # folds, encodings and scores are found on the few columns they need; the wide rows meet them once, by row
+    tr = cut_lineage(assign_folds(f_tr.select("_row", "id_user", "is_fraud", *ENC_COLS), seed=seed))
+    tr, te = target_encode_columns(tr, f_te, ENC_COLS)
     g_tr = graph_features_oof(train_users.join(tr.select("id_user", "fold"), "id_user"), train_tx)
     g_te = graph_features_apply(train_users, train_tx, test_users, test_tx)
     tr = tr.join(g_tr.drop("fold"), "id_user", "left")
@@ -63,7 +64,8 @@ def prepare(train_users, train_tx, test_users, test_tx, seed: int = 42):
     both = tr_s.withColumn("_train", F.lit(True)).unionByName(te_s.withColumn("_train", F.lit(False)))
     near = cut_lineage(knn_stats(both, tr_s, ANOMALY_FEATURES, k=10).select("id_user", "knn_avg_dist", "_train"))
     k_tr, k_te = near.filter("_train").drop("_train"), near.filter("NOT _train").drop("_train")
-    tr = cut_lineage(tr.join(k_tr, "id_user", "left"))
+    added = tr.join(k_tr, "id_user", "left").drop("id_user", "is_fraud", *ENC_COLS)
+    tr = cut_lineage(f_tr.join(added, "_row").drop("_row"))
     te = cut_lineage(te.join(k_te, "id_user", "left"))
     return tr, te
 
