@@ -48,6 +48,12 @@ ANSWER = 0.8
 #: Words an answer needs to tell anything.
 ANSWER_WORDS = 4
 BLOCK_ITEMS = 2048
+#: Terms whose words are counted in a matrix, groups of words that it holds at a time.
+FREQUENT = 256
+GROUPS = 2048
+#: Marks of the terms of a block's rows, and pairs of row and item looked up there at a time.
+MARKS = 1 << 22
+PAIRS = 4096
 #: Hash slots of the term space.
 SLOTS = 1 << 20
 SEED = 31
@@ -84,6 +90,9 @@ class Items:
         self.n_terms = len(slots)
         self.table = np.full(SLOTS, self.n_terms, np.int32)
         self.table[slots] = np.arange(self.n_terms, dtype=np.int32)
+        self.sizes = np.array([len(w) for w in self.words], np.int64)
+        self.first = np.cumsum(self.sizes) - self.sizes
+        self.all_terms = self.terms(np.concatenate([np.zeros(0, np.uint64), *self.words]))
 
     def terms(self, hashes: np.ndarray) -> np.ndarray:
         """Term of each word; ``n_terms`` for words outside the space."""
@@ -102,27 +111,12 @@ class Segments:
         per_row = -(-sizes // SEGMENT)
         self.row_end = np.repeat(np.cumsum(per_row), per_row)            # segment after the row's last
         self.word_end = np.append(self.start[1:], len(row))
+        self.number = np.repeat(np.arange(len(self.start)), self.word_end - self.start)   # segment of each word
         self.hashes = hashes
 
     def sums(self, values: np.ndarray) -> np.ndarray:
         return np.add.reduceat(values, self.start, axis=0) if len(self.start) else values[:0]
 
-    def term_sums(self, vectors: np.ndarray, term: np.ndarray) -> np.ndarray:
-        """Per segment the sum of its terms' vectors; words outside the space (the last term) add nothing."""
-        known = np.flatnonzero(term < len(vectors))
-        cuts = np.searchsorted(known, self.start)
-        sizes = np.diff(np.append(cuts, len(known)))
-        # segments with most terms first: the k-th terms of those that have one are a leading part
-        order = np.argsort(-sizes, kind="stable")
-        cuts, sizes, known = cuts[order], sizes[order], term[known]
-        out = np.zeros((len(order), vectors.shape[1]), np.float32)
-        for k in range(int(sizes[0]) if len(sizes) else 0):
-            m = int(np.searchsorted(-sizes, -k, "left"))
-            out[:m] += vectors[known[cuts[:m] + k]]
-        back = np.empty_like(order)
-        back[order] = np.arange(len(order))
-        return out[back]
-
     def window_sums(self, values: np.ndarray) -> dict[int, np.ndarray]:
         """Sums of two and of four segments from each on, up to its row's end."""
         two, at = values.copy(), np.arange(len(values))
@@ -134,6 +128,84 @@ class Segments:
         return {2: two, 4: four}
 
 
+class TermVectors:
+    """A vector of each term.  The words of the terms that weigh least, the most frequent ones, are counted by group and
+    multiplied; those of the others are looked up one by one.  Words outside the space add nothing."""
+
+    def __init__(self, vectors: np.ndarray, weights: np.ndarray):
+        self.vectors = vectors
+        self.often = np.argsort(weights[:len(vectors)], kind="stable")[:FREQUENT]
+        self.matrix = vectors[self.often]
+        self.column = np.full(len(vectors) + 1, len(self.often))
+        self.column[self.often] = np.arange(len(self.often))
+
+    def _counts(self, group: np.ndarray, column: np.ndarray, n: int) -> Iterator[tuple[int, int, np.ndarray]]:
+        """(first group, end group, words of each frequent term in each of them); ``group`` ascends."""
+        width = len(self.often) + 1
+        cuts = np.searchsorted(group, np.arange(0, n + GROUPS, GROUPS))
+        for a, lo, hi in zip(range(0, n, GROUPS), cuts[:-1], cuts[1:], strict=True):
+            m = min(GROUPS, n - a)
+            counts = np.bincount((group[lo:hi] - a) * width + column[lo:hi], minlength=m * width)
+            yield a, a + m, counts.reshape(m, width)[:, :-1].astype(np.float32)
+
+    def sums(self, group: np.ndarray, term: np.ndarray, n: int) -> np.ndarray:
+        """Per group of words, of n, the sum of its terms' vectors."""
+        column = self.column[term]
+        out = np.empty((n, self.vectors.shape[1]), np.float32)
+        for a, b, counts in self._counts(group, column, n):
+            np.matmul(counts, self.matrix, out=out[a:b])
+        rare = self._rare(column, term)
+        sizes = np.bincount(group[rare], minlength=n)
+        cuts, rare = np.cumsum(sizes) - sizes, term[rare]
+        # groups with most terms first: the k-th terms of those that have one are a leading part
+        order = np.argsort(-sizes, kind="stable")
+        cuts, sizes = cuts[order], sizes[order]
+        for k in range(int(sizes[0]) if n else 0):
+            m = int(np.searchsorted(-sizes, -k, "left"))
+            out[order[:m]] += self.vectors[rare[cuts[:m] + k]]
+        return out
+
+    def add_groups(self, group: np.ndarray, term: np.ndarray, values: np.ndarray, total: np.ndarray) -> None:
+        """Add to each term's row of ``total`` the ``values`` of the groups of its words."""
+        column = self.column[term]
+        for a, b, counts in self._counts(group, column, len(values)):
+            total[self.often] += counts.T @ values[a:b]
+        rare = self._rare(column, term)
+        group, term = group[rare], term[rare]
+        # a dimension at a time: its values of the groups and its sums stay in the processor's cache
+        for j, x in enumerate(np.ascontiguousarray(values.T, dtype=float)):
+            total[:, j] += np.bincount(term, x[group], len(total))
+
+    def _rare(self, column: np.ndarray, term: np.ndarray) -> np.ndarray:
+        return np.flatnonzero((column == len(self.often)) & (term < len(self.vectors)))
+
+
+class Presence:
+    """Which terms each row of a block holds, and perhaps some more (rows and terms share ``MARKS`` marks)."""
+
+    def __init__(self, items: Items, row: np.ndarray, term: np.ndarray):
+        self.items = items
+        known = term < items.n_terms
+        self.marks = np.zeros(MARKS, bool)
+        self.marks[self._mark(row[known], term[known])] = True
+
+    def _mark(self, row: np.ndarray, term: np.ndarray) -> np.ndarray:
+        return (row * self.items.n_terms + term) & (MARKS - 1)
+
+    def held(self, row: np.ndarray, item: np.ndarray) -> np.ndarray:
+        """Whether each row may hold ``LCS_MAYBE`` of its item's words; false only where it does not."""
+        out = np.zeros(len(row), bool)
+        for lo in range(0, len(row), PAIRS):
+            r, j = row[lo:lo + PAIRS], item[lo:lo + PAIRS]
+            sizes = self.items.sizes[j]
+            ends = np.cumsum(sizes)
+            place = np.arange(ends[-1]) + np.repeat(self.items.first[j] - (ends - sizes), sizes)
+            marked = self.marks[self._mark(np.repeat(r, sizes), self.items.all_terms[place])]
+            counts = np.diff(np.concatenate([[0], np.cumsum(marked)])[np.concatenate([[0], ends])])
+            out[lo:lo + PAIRS] = counts >= LCS_MAYBE * sizes
+        return out
+
+
 def _sum_rows(df: DataFrame, run, width: int, n: int) -> np.ndarray:
     """Sum over tasks of an (n, width) float matrix, sent as its non-zero rows."""
     got = (df.mapInArrow(run, "term int, part array<double>")
@@ -171,8 +243,7 @@ def term_weights(rows: DataFrame, items: Items) -> tuple[np.ndarray, float]:
 
 def sketch(rows: DataFrame, items: Items, weights: np.ndarray, basis: np.ndarray) -> np.ndarray:
     """``A^T (A basis)`` over the 64-word passages of ``rows``."""
-    scaled = (basis * weights[:-1, None]).astype(np.float32)
-    n, k = items.n_terms, max(WINDOWS)
+    vectors, n = TermVectors((basis * weights[:-1, None]).astype(np.float32), weights), items.n_terms
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((n, basis.shape[1]))
@@ -181,19 +252,13 @@ def sketch(rows: DataFrame, items: Items, weights: np.ndarray, basis: np.ndarray
                 hashes, row = hashed_words(data, offs)
                 if not len(hashes):
                     continue
-                seg = Segments(hashes, row)
+                # passages of 64 words, each within its row
+                first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+                number = np.arange(len(row)) - np.repeat(first, np.diff(np.append(first, len(row))))
+                passage = np.cumsum(number % PASSAGE == 0) - 1
                 term = items.terms(hashes)
-                known = np.flatnonzero(term < n)
-                # passages: every fourth segment of a row begins one
-                first = np.flatnonzero(np.concatenate([[True], seg.row[1:] != seg.row[:-1]]))
-                number = np.arange(len(seg.start)) - np.repeat(first, np.diff(np.append(first, len(seg.start))))
-                begins = number % k == 0
-                low = np.add.reduceat(seg.term_sums(scaled, term), np.flatnonzero(begins), axis=0)
-                passage = np.repeat(np.cumsum(begins) - 1, seg.word_end - seg.start)[known]
-                # a dimension at a time: its values of the passages and its sums stay in the processor's cache
-                known = term[known]
-                for j, values in enumerate(np.ascontiguousarray(low.T, dtype=float)):
-                    total[:, j] += np.bincount(known, values[passage], n)
+                low = vectors.sums(passage, term, int(passage[-1]) + 1)
+                vectors.add_groups(passage, term, low, total)
         yield _rows(total * weights[:-1, None])
 
     return _sum_rows(rows, run, basis.shape[1], n)
@@ -239,7 +304,7 @@ def _leaks(rows: DataFrame, items: Items, weights: np.ndarray, basis: np.ndarray
     cut = [(j, a, b) for j, w in enumerate(items.words) for a, b in passages(len(w))]
     own = np.stack([scaled[items.terms(items.words[j][a:b])].sum(0) if b > a else np.zeros(basis.shape[1], np.float32)
                     for j, a, b in cut])
-    scaled = scaled[:-1]
+    vectors, item_of = TermVectors(scaled[:-1], weights), np.array([j for j, _, _ in cut])
     length = np.maximum(np.linalg.norm(own, axis=1), 1e-9).astype(np.float32)
     own = (own / length[:, None]).T.astype(np.float32)
     words, answers = [w.tolist() for w in items.words], [w.tolist() for w in items.answers]
@@ -276,10 +341,11 @@ def _leaks(rows: DataFrame, items: Items, weights: np.ndarray, basis: np.ndarray
                     continue
                 seg = Segments(hashes, row)
                 term = items.terms(hashes)
-                low = seg.window_sums(seg.term_sums(scaled, term))
+                low = seg.window_sums(vectors.sums(seg.number, term, len(seg.start)))
                 size = np.concatenate([[0.0], np.cumsum(seg.sums(squares[term]), dtype=float)])
                 at = np.arange(len(seg.start))
                 row_start = np.searchsorted(row, np.arange(len(offs)))
+                present = Presence(items, row, term)
                 found: dict[tuple[int, int], list[tuple[float, int, int, int]]] = {}
                 for k in WINDOWS:
                     end = np.minimum(at + k, seg.row_end)
@@ -290,12 +356,16 @@ def _leaks(rows: DataFrame, items: Items, weights: np.ndarray, basis: np.ndarray
                             cosine = low[k][a:a + (1 << 13)] @ own[:, v:v + BLOCK_VECTORS]
                             held = cosine >= HELD * length[v:v + BLOCK_VECTORS]
                             cosine /= energy
-                            for i, j in zip(*np.nonzero(held & (cosine >= COSINE)), strict=True):
-                                found.setdefault((int(seg.row[s[i]]), cut[v + j][0]), []).append(
-                                    (float(cosine[i, j]), int(s[i]), int(e[i]), v + int(j)))
+                            held &= cosine >= COSINE
+                            spot, vector = np.divmod(np.flatnonzero(held), held.shape[1])
+                            # rows without enough of an item's words at all have no stretch with them in order
+                            pair, of = np.unique(seg.row[s[spot]] * len(items.words) + item_of[v + vector], return_inverse=True)
+                            some = present.held(*np.divmod(pair, len(items.words)))[of]
+                            spot, vector = spot[some], vector[some]
+                            for r, item, *place in zip(*(x.tolist() for x in (
+                                    seg.row[s[spot]], item_of[v + vector], cosine[spot, vector], s[spot], e[spot], v + vector)), strict=True):
+                                found.setdefault((r, item), []).append(tuple(place))
                 for (r, item), spots in found.items():
-                    if len(spots) > 2 and not holds(hashes[row_start[r]:row_start[r + 1]].tolist(), item):
-                        continue
                     tried: set[tuple[int, int]] = set()
                     for cosine, s, e, v in sorted(spots, reverse=True):
                         first = s - 1 if s and seg.row[s - 1] == r else s

@@ -827,3 +827,38 @@ def test_latent_space_is_fitted_on_all_documents(spark, monkeypatch):
     for _ in range(2):
         drawn = np.linalg.qr(a.T @ (a @ drawn))[0]
     assert np.abs(np.abs((drawn * basis).sum(0)) - 1).max() < 1e-3
+
+
+def test_frequent_and_rare_terms_add_up_like_single_words(monkeypatch):
+    rng = np.random.default_rng(8)
+    monkeypatch.setattr(decontamination, "FREQUENT", 5)
+    monkeypatch.setattr(decontamination, "GROUPS", 3)
+    group = np.sort(rng.choice([0, 1, 2, 4, 5, 6, 9], 300))        # 3, 7, 8 and 10 have no words
+    term = rng.choice(21, 300, p=np.append(np.full(20, 0.03), 0.4))  # 20: outside the space
+    vectors, weights = rng.standard_normal((20, 4)).astype(np.float32), rng.random(21).astype(np.float32)
+    sums = np.zeros((11, 4))
+    known = term < 20
+    np.add.at(sums, group[known], vectors[term[known]])
+    space = decontamination.TermVectors(vectors, weights)
+    assert np.allclose(space.sums(group, term, 11), sums, atol=1e-5)
+    total, expected = np.ones((20, 4)), np.ones((20, 4))
+    values = rng.standard_normal((11, 4)).astype(np.float32)
+    np.add.at(expected, term[known], values[group[known]])
+    space.add_groups(group, term, values, total)
+    assert np.allclose(total, expected, atol=1e-5)
+    assert space.sums(group[:0], term[:0], 0).shape == (0, 4)
+
+
+def test_presence_drops_only_rows_without_enough_of_an_item(monkeypatch):
+    rng = random.Random(9)
+    vocabulary = [f"w{k}" for k in range(60)]
+    items = decontamination.Items([{"item_id": k, "text": " ".join(rng.choices(vocabulary, k=rng.randint(1, 12)))} for k in range(20)])
+    texts = [rng.choices(vocabulary, k=rng.randint(0, 60)) for _ in range(50)]
+    words = [decontamination._words_of(" ".join(t)) for t in texts]
+    row, term = np.repeat(np.arange(50), [len(w) for w in words]), items.terms(np.concatenate(words))
+    r, j = (x.ravel() for x in np.meshgrid(np.arange(50), np.arange(20)))
+    enough = np.array([np.isin(items.words[b], words[a]).sum() >= decontamination.LCS_MAYBE * len(items.words[b]) for a, b in zip(r, j)])
+    monkeypatch.setattr(decontamination, "PAIRS", 7)
+    assert (decontamination.Presence(items, row, term).held(r, j) == enough).all()
+    monkeypatch.setattr(decontamination, "MARKS", 256)              # marks are shared: more may seem held, never less
+    assert decontamination.Presence(items, row, term).held(r, j)[enough].all()
