@@ -862,3 +862,32 @@ def test_presence_drops_only_rows_without_enough_of_an_item(monkeypatch):
     assert (decontamination.Presence(items, row, term).held(r, j) == enough).all()
     monkeypatch.setattr(decontamination, "MARKS", 256)              # marks are shared: more may seem held, never less
     assert decontamination.Presence(items, row, term).held(r, j)[enough].all()
+
+
+def test_two_windows_are_linked_once():
+    # three windows of one hash, alike on all sides: the group and each neighbourhood link them
+    spans = np.array([[10, 0, 60, 0, 1, 2, 3, 4]] * 3)
+    got = compact_windows._pairs(np.full(3, 1 << 63, np.uint64), np.arange(3), np.zeros(3, np.int32), spans).to_pylist()
+    assert [(r["a"], r["b"]) for r in got if r["hash"] is None] == [(0, 1), (0, 2), (1, 2)]
+    assert sum(r["hash"] is not None for r in got) == 3
+
+
+def test_texts_that_few_functions_link_give_no_candidates(spark):
+    rng = random.Random(12)
+    rows, functions = [], {}
+    for a in range(40):
+        for k in rng.sample(range(8), rng.randint(1, 8)):
+            lo = rng.randint(0, 20)
+            rows.append((a, a + rng.randint(1, 2), 0, 5, 0, k, lo, lo + 60, 0, 99, 0, 99))
+            functions.setdefault(rows[-1][:2], set()).add(k)
+    later = rows[::3]
+    ddl = ", ".join(f"{c} {'int' if c == 'k' else 'long'}" for c in compact_windows._LINK.names)
+    links, more, rest = (spark.createDataFrame(x, ddl) for x in (rows, later, [r for k, r in enumerate(rows) if k % 3]))
+    enough = {p for p, k in functions.items() if len(k) >= compact_windows.AGREE}
+    assert 0 < len(enough) < len(functions)
+    with Work(spark, "test") as work:
+        kept = compact_windows.agreeing(work, links, "one")
+        assert {(r["a"], r["b"]) for r in kept.collect()} == enough
+        assert sorted(compact_windows.candidates(kept).collect()) == sorted(compact_windows.candidates(links).collect())
+        kept = compact_windows.agreeing(work, rest, "two", more)
+        assert {(r["a"], r["b"]) for r in kept.collect()} == enough & {r[:2] for r in later}
