@@ -169,7 +169,7 @@ class TermVectors:
         """Add to each term's row of ``total`` the ``values`` of the groups of its words."""
         column = self.column[term]
         for a, b, counts in self._counts(group, column, len(values)):
-            total[self.often] += counts.T @ values[a:b]
+            total[self.often] += counts.T.astype(float) @ values[a:b].astype(float)
         rare = self._rare(column, term)
         group, term = group[rare], term[rare]
         # a dimension at a time: its values of the groups and its sums stay in the processor's cache
