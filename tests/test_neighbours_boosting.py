@@ -158,6 +158,32 @@ def test_the_fit_is_bounded_and_scores_everything(spark):
         boosting.fit_boosted(df, COLS, depth=3)
 
 
+def test_models_are_fitted_on_all_rows(spark):
+    # more rows than the fits once drew; models 0..4 and 5 take the rows of the other folds and all rows
+    n = 230_000
+    df = spark.range(n).select(F.col("id").alias("id_user"), (F.col("id") % 3 == 0).cast("int").alias("is_fraud"),
+                               (F.col("id") % 5).cast("int").alias("fold"), (F.col("id") % 7).alias("a"), (F.col("id") % 11).alias("b"))
+    model, _ = boosting.fit_boosted(df, ["a", "b"], n_estimators=1)
+    ids = np.arange(n)
+    for m in range(6):
+        y = ids[ids % 5 != m] % 3 == 0
+        weighted = 2 * y.sum() / (2 * y.sum() + (~y).sum())
+        assert model.starts[m] == pytest.approx(np.log(weighted / (1 - weighted)), abs=1e-12)
+    assert sorted(model.trees) == [0, 1, 2, 3, 4, 5]
+
+
+def test_a_fit_on_disk_equals_one_in_memory(monkeypatch):
+    fits = []
+    for limit in (boosting.MATRIX_BYTES, 0):
+        monkeypatch.setattr(boosting, "MATRIX_BYTES", limit)
+        x = boosting._matrix(5, 900)
+        assert isinstance(x, np.memmap) == (limit == 0)
+        x[:] = np.random.default_rng(1).integers(0, 9, (5, 900))
+        y = (x[0] > 4).astype(float)
+        fits.append(boosting.grow_model(x.T, y, np.full(5, 9), {**boosting.BOOSTING, "n_estimators": 3}))
+    assert fits[0] == fits[1]
+
+
 def test_histogram_sums_every_bin_in_row_order():
     rng = np.random.default_rng(8)
     bins = np.array([7, 1, 256, 40])
