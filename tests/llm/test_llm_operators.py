@@ -3,6 +3,7 @@ import hashlib
 import random
 import re
 import zlib
+from types import SimpleNamespace
 
 import duckdb
 import numpy as np
@@ -891,3 +892,45 @@ def test_texts_that_few_functions_link_give_no_candidates(spark):
         assert sorted(compact_windows.candidates(kept).collect()) == sorted(compact_windows.candidates(links).collect())
         kept = compact_windows.agreeing(work, rest, "two", more)
         assert {(r["a"], r["b"]) for r in kept.collect()} == enough & {r[:2] for r in later}
+
+
+def test_could_pass_equals_brute_force():
+    rng = np.random.default_rng(4)
+    n, least, found = 260, compact_windows.TOKENS, 0
+    for share in (0.75, 0.8, 0.85, 0.9):
+        token = rng.integers(1, 1 << 60, n).astype(np.uint64)
+        token[[70, 71, 150]] = 0
+        hit = rng.random(n) < share
+        want = set()
+        for end in range(least, n + 1):
+            for start in range(end - least + 1):
+                if (token[start:end] > 0).all() and 9 * hit[start:end].sum() >= 4 * (end - start + least):
+                    want.add(end - 1)
+        assert set(compact_windows.could_pass(hit, token).tolist()) == want
+        found += len(want)
+    assert found
+    assert not len(compact_windows.could_pass(np.ones(least - 1, bool), np.ones(least - 1, np.uint64)))
+
+
+def test_windows_with_nothing_alike_beside_them_are_compared(spark):
+    # texts 0 and 1 hold a passage, 2 to 5 a line of it only; all have a window of one hash under five functions
+    line, rest = [f"l{i}" for i in range(12)], [f"p{i}" for i in range(48)]
+    texts = [rest[:20] + line + rest[20:]] * 2 + [[f"t{d}_{i}" for i in range(20)] + line + [f"t{d}_{i}" for i in range(20, 48)]
+                                                  for d in range(2, 6)]
+    texts = [[f"own{d}"] + t for d, t in enumerate(texts)]
+    data = [" ".join(t).encode() for t in texts]
+    blocks = spark.createDataFrame([(b, list(range(3 * b, 3 * b + 3)), [0] * 3, [len(x) for x in data[3 * b:3 * b + 3]],
+                                     bytearray(b"".join(data[3 * b:3 * b + 3]))) for b in range(2)],
+                                   "block long, doc_ids array<long>, marks_of array<long>, lens array<long>, text binary")
+    start = [len(texts[0]) * (d % 3) for d in range(6)]
+    left = spark.createDataFrame([(d // 3, start[d], start[d] + 23, k, start[d], start[d] + 56, 100 + k) for d in range(6) for k in range(5)],
+                                 "a long, a_text long, diagonal long, k int, lo long, hi long, hash long")
+    links = spark.createDataFrame([], ", ".join(f"{c} {'int' if c == 'k' else 'long'}" for c in compact_windows._LINK.names))
+    places = spark.createDataFrame([], "block long, text long, doc_id long, mark long")
+    roots = spark.createDataFrame([], "node long, root long")
+    laid = SimpleNamespace(blocks=blocks, total=sum(map(len, data)))
+    with Work(spark, "test") as work:
+        got = compact_windows.apart(work, laid, links, left, places, roots).collect()
+    assert {(r["a"], r["a_text"], r["b"], r["b_text"]) for r in got} == {(0, 0, 0, start[1])}
+    assert sorted(r["k"] for r in got) == [0, 1, 2, 3, 4]
+    assert {(r["diagonal"], r["lo"], r["hi"]) for r in got} == {(61, 0, 56)}
